@@ -270,10 +270,9 @@ def momentum(spark, folder):
 @query(
     "w22_price_rolling_mean",
     priced_sql(
-        f(f"AVG(sell_price) OVER {rows(28)}", "price_rolling_mean_28", 4),
-        f(f"sell_price / AVG(sell_price) OVER {rows(28)}", "price_relative_to_avg", 4),
+        f(f"AVG(sell_price) OVER {rows(28)}", "price_rolling_mean_28"),
+        f(f"sell_price / AVG(sell_price) OVER {rows(28)}", "price_relative_to_avg"),
     ),
-    digits=4,
 )
 def price_rolling(spark, folder):
     full = price.add_rolling_price(priced(spark, folder))
