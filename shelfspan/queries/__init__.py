@@ -1,2 +1,2 @@
-from shelfspan.queries import windows, evaluation  # noqa: F401
+from shelfspan.queries import aggregates, joins  # noqa: F401
 from shelfspan.queries.base import ORACLES, QUERIES
