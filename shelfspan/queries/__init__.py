@@ -1,2 +1,2 @@
-from shelfspan.queries import scalars, features  # noqa: F401
+from shelfspan.queries import sources, quality  # noqa: F401
 from shelfspan.queries.base import ORACLES, QUERIES
