@@ -1,2 +1,16 @@
-from shelfspan.queries import sources, quality  # noqa: F401
+"""Registered queries and the SQL each one is checked against."""
+
+from shelfspan.queries import (  # noqa: F401
+    aggregates,
+    evaluation,
+    features,
+    joins,
+    models,
+    quality,
+    scalars,
+    sources,
+    windows,
+)
 from shelfspan.queries.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfspan.functions.scalar import date_parts
 from shelfspan.operators import encode, prepare, splits
+from shelfspan.operators.demand import add_lags, add_rolling
 from shelfspan.operators.joins import attach, join_weather
 from shelfspan.plans import features, retail
 from shelfspan.queries.aggregates import MONTHLY, SPLIT
@@ -372,14 +374,28 @@ def store(spark, folder):
     return df.drop(*unused)
 
 
+GROUPED = {
+    "temporal": ("year", "month", "day", "dayofweek", "dayofyear", "week", "quarter"), "lag": ("demand_lag_7",),
+    "rolling": ("demand_rolling_mean_7",), "price": ("sell_price",),
+}
+GROUP_VALUES = {**PARTS, "demand_lag_7": _lag(7), "demand_rolling_mean_7": f"AVG(demand) OVER {rows(7)}", "sell_price": "sell_price"}
+
+
 @query(
     "c07_feature_groups",
+    with_priced(
+        f"wide AS (SELECT {', '.join(f'{x} AS f_{n}' for n, x in GROUP_VALUES.items())} FROM priced)",
+        "means AS (" + " UNION ALL ".join(
+            f"SELECT '{g}' AS feature_group, AVG(abs(f_{n})) AS v FROM wide" for g, names in GROUPED.items() for n in names
+        ) + ")",
+    )
+    + f"SELECT feature_group, {i('COUNT(*)', 'features')}, {f('AVG(v)', 'mean_abs', 4)} FROM means GROUP BY feature_group",
+    digits=4,
 )
 def groups(spark, folder):
-    """Mean absolute value of every feature group of the prepared matrix."""
-    df = retail.panel(spark, folder)
-    df = features.add_temporal(df, df.agg(F.min("date")).scalar())
-    names = prepare.feature_columns(df)
+    """Mean absolute value of every feature group."""
+    df = add_rolling(add_lags(priced(spark, folder), [7], detail=False), [7], stats=["mean"]).withColumns(date_parts())
+    names = list(GROUP_VALUES)
     means = df.agg(*[F.avg(F.abs(F.col(c).cast("double"))).alias(c) for c in names])
     long = means.unpivot([], names, "feature", "mean_abs")
     group = F.array(*[
