@@ -1,7 +1,8 @@
 """Lag, activity, rolling, exponentially weighted and intermittency features.
 
-Every function adds columns over one window (series by date), so Spark plans
-one exchange and one sort for all of them. The panel must be dense.
+All columns share one window (series by date), so Spark plans one exchange and
+one sort for them. The ``*_columns`` functions give the expressions, so a chain
+can put many into a single window step. The panel must be dense.
 """
 
 from __future__ import annotations
@@ -27,56 +28,80 @@ from shelfspan.schemas import (
 )
 
 
-def add_lags(df: DataFrame, lags: Sequence[int] = LAGS, keys=SERIES, target="demand", detail=True) -> DataFrame:
-    """Lagged demand; with ``detail`` also its log1p and a non-zero flag."""
+def lag_columns(lags: Sequence[int] = LAGS, keys=SERIES, target="demand") -> dict[str, Column]:
     w = series_window(keys)
-    df = df.withColumns({f"{target}_lag_{n}": F.lag(target, n).over(w) for n in lags})
-    if not detail:
-        return df
+    return {f"{target}_lag_{n}": F.lag(target, n).over(w) for n in lags}
+
+
+def lag_details(lags: Sequence[int] = LAGS, target="demand") -> dict[str, Column]:
+    """log1p and non-zero flag of existing lag columns; an unknown lag is not non-zero."""
     extra = {}
     for n in lags:
         past = F.col(f"{target}_lag_{n}")
         extra[f"{target}_lag_{n}_log"] = F.log1p(past.cast("double"))
         extra[f"{target}_lag_{n}_nonzero"] = flag(past > 0)
-    return df.withColumns(extra)
+    return extra
+
+
+def add_lags(df: DataFrame, lags: Sequence[int] = LAGS, keys=SERIES, target="demand", detail=True) -> DataFrame:
+    """Lagged demand; with ``detail`` also its log1p and a non-zero flag."""
+    df = df.withColumns(lag_columns(lags, keys, target))
+    return df.withColumns(lag_details(lags, target)) if detail else df
+
+
+def activity_columns(windows: Sequence[int] = ACTIVE_WINDOWS, keys=SERIES, target="demand", shift=0) -> dict[str, Column]:
+    sold = flag(F.col(target) > 0)
+    return {f"active_days_last_{n}": F.sum(sold).over(trailing(n, keys, shift=shift)) for n in windows}
 
 
 def add_activity(df: DataFrame, windows: Sequence[int] = ACTIVE_WINDOWS, keys=SERIES, target="demand", shift=0) -> DataFrame:
     """Number of days with sales among the last n days."""
-    sold = flag(F.col(target) > 0)
-    return df.withColumns({f"active_days_last_{n}": F.sum(sold).over(trailing(n, keys, shift=shift)) for n in windows})
+    return df.withColumns(activity_columns(windows, keys, target, shift))
 
 
-def add_rolling(
-    df: DataFrame, windows: Sequence[int] = WINDOWS, keys=SERIES, target="demand",
+def rolling_columns(
+    windows: Sequence[int] = WINDOWS, keys=SERIES, target="demand",
     stats: Sequence[str] = ("mean", "std", "max", "min"), shift: int = 0,
-) -> DataFrame:
-    """Rolling statistics over at least one row; std needs two."""
+) -> dict[str, Column]:
     kinds = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}
     added = {}
     for n in windows:
         frame = trailing(n, keys, shift=shift)
         for stat in stats:
             added[f"{target}_rolling_{stat}_{n}"] = kinds[stat](target).over(frame)
-    return df.withColumns(added)
+    return added
 
 
-def add_spread(df: DataFrame, windows: Sequence[int] = WINDOWS, target="demand") -> DataFrame:
-    """Coefficient of variation and trend score from existing rolling columns."""
+def add_rolling(
+    df: DataFrame, windows: Sequence[int] = WINDOWS, keys=SERIES, target="demand",
+    stats: Sequence[str] = ("mean", "std", "max", "min"), shift: int = 0,
+) -> DataFrame:
+    """Rolling statistics over at least one row; std needs two."""
+    return df.withColumns(rolling_columns(windows, keys, target, stats, shift))
+
+
+def spread_columns(windows: Sequence[int] = WINDOWS, target="demand") -> dict[str, Column]:
     added = {}
     for n in windows:
         mean, std = F.col(f"{target}_rolling_mean_{n}"), F.col(f"{target}_rolling_std_{n}")
         added[f"{target}_rolling_cv_{n}"] = std / (mean + EPSILON)
         added[f"{target}_trend_{n}"] = (F.col(target) - mean) / (std + EPSILON)
-    return df.withColumns(added)
+    return added
+
+
+def add_spread(df: DataFrame, windows: Sequence[int] = WINDOWS, target="demand") -> DataFrame:
+    """Coefficient of variation and trend score from existing rolling columns."""
+    return df.withColumns(spread_columns(windows, target))
+
+
+def velocity_columns(pairs=((7, 14), (14, 28), (28, 56)), target="demand") -> dict[str, Column]:
+    mean = f"{target}_rolling_mean_"
+    return {f"demand_velocity_{a}_{b}": F.col(f"{mean}{a}") - F.col(f"{mean}{b}") for a, b in pairs}
 
 
 def add_velocity(df: DataFrame, pairs=((7, 14), (14, 28), (28, 56)), target="demand") -> DataFrame:
     """Short minus long rolling mean."""
-    mean = f"{target}_rolling_mean_"
-    return df.withColumns(
-        {f"demand_velocity_{a}_{b}": F.col(f"{mean}{a}") - F.col(f"{mean}{b}") for a, b in pairs}
-    )
+    return df.withColumns(velocity_columns(pairs, target))
 
 
 def _decayed_sums(df: DataFrame, alphas: dict[str, float], keys, target) -> DataFrame:
@@ -145,21 +170,29 @@ def last_sale_before(keys=SERIES, target="demand", date="date") -> Column:
     )
 
 
+def days_since_sale(keys=SERIES, target="demand", date="date") -> Column:
+    gap = F.datediff(F.col(date), last_sale_before(keys, target, date))
+    return F.coalesce(gap, F.lit(NEVER_SOLD_DAYS))
+
+
 def add_days_since_sale(df: DataFrame, keys=SERIES, target="demand", date="date") -> DataFrame:
     """Days since the last sale, or a fixed large number before the first one."""
-    gap = F.datediff(F.col(date), last_sale_before(keys, target, date))
-    return df.withColumn("days_since_last_sale", F.coalesce(gap, F.lit(NEVER_SOLD_DAYS)))
+    return df.withColumn("days_since_last_sale", days_since_sale(keys, target, date))
 
 
-def add_intermittency(df: DataFrame, windows: Sequence[int] = PATTERN_WINDOWS, keys=SERIES, target="demand", shift=0) -> DataFrame:
-    """Share of zero days, and mean demand of the selling days (else 0)."""
+def intermittency_columns(windows: Sequence[int] = PATTERN_WINDOWS, keys=SERIES, target="demand", shift=0) -> dict[str, Column]:
     y = F.col(target)
     added = {}
     for n in windows:
         frame = trailing(n, keys, shift=shift)
         added[f"intermittency_ratio_{n}"] = F.avg(flag(y == 0).cast("double")).over(frame)
         added[f"demand_intensity_{n}"] = F.coalesce(F.avg(F.when(y > 0, y)).over(frame), F.lit(0.0))
-    return df.withColumns(added)
+    return added
+
+
+def add_intermittency(df: DataFrame, windows: Sequence[int] = PATTERN_WINDOWS, keys=SERIES, target="demand", shift=0) -> DataFrame:
+    """Share of zero days, and mean demand of the selling days (else 0)."""
+    return df.withColumns(intermittency_columns(windows, keys, target, shift))
 
 
 def naive_forecast(keys=SERIES, target="demand") -> Column:

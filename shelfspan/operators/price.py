@@ -45,25 +45,28 @@ def full_frame_mean(value: str, rows: int, keys=SERIES, order: str = "date") ->
     return F.when(F.count(value).over(frame) == rows, F.avg(value).over(frame))
 
 
+def momentum_columns(windows: Sequence[int] = MOMENTUM_WINDOWS, keys=SERIES) -> dict[str, Column]:
+    """Full-frame means of the price; they carry the historic name ``price_momentum``."""
+    return {f"price_momentum_{n}": full_frame_mean("sell_price", n, keys) for n in windows}
+
+
 def add_price_windows(df: DataFrame, momentum: Sequence[int] = MOMENTUM_WINDOWS, keys=SERIES) -> DataFrame:
-    """Change, fractional change and full-frame means of the price.
+    """Change, fractional change and full-frame means of the price."""
+    df = df.withColumns({"price_change": change("sell_price", keys), **momentum_columns(momentum, keys)})
+    return add_relative_change(df, "price_change_pct", "sell_price", keys)
 
-    The means carry the historic name ``price_momentum``.
-    """
-    df = df.withColumn("price_change", change("sell_price", keys))
-    df = add_relative_change(df, "price_change_pct", "sell_price", keys)
-    return df.withColumns({f"price_momentum_{n}": full_frame_mean("sell_price", n, keys) for n in momentum})
+
+def discount_columns() -> dict[str, Column]:
+    drop = F.col("price_change")
+    return {
+        "is_discount": flag(drop < -0.01),
+        "discount_magnitude": F.when(drop < 0, F.abs(drop)).otherwise(0.0),
+    }
 
 
 def add_discounts(df: DataFrame) -> DataFrame:
     """Discount flag (a drop of more than one cent) and the size of any drop."""
-    drop = F.col("price_change")
-    return df.withColumns(
-        {
-            "is_discount": flag(drop < -0.01),
-            "discount_magnitude": F.when(drop < 0, F.abs(drop)).otherwise(0.0),
-        }
-    )
+    return df.withColumns(discount_columns())
 
 
 def group_mean(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,49 +23,58 @@ from shelfspan.functions.scalar import (
 )
 from shelfspan.operators.business import item_age, item_month_profile
 from shelfspan.operators.demand import (
-    add_activity,
-    add_days_since_sale,
+    activity_columns,
     add_ewm,
-    add_intermittency,
     add_lags,
     add_recursive_ewm,
     add_rolling,
-    add_spread,
-    add_velocity,
+    days_since_sale,
+    intermittency_columns,
+    lag_columns,
+    lag_details,
+    rolling_columns,
+    spread_columns,
+    velocity_columns,
 )
 from shelfspan.operators.encode import add_target_encoding, apply_codes, category_values, fit_codes
 from shelfspan.operators.interactions import (
     HIERARCHY_COMBINATIONS,
     SEASON_COMBINATIONS,
-    add_code_interactions,
     add_combinations,
-    add_price_interactions,
+    code_interactions,
     price_elasticity,
+    price_interactions,
 )
 from shelfspan.operators.joins import attach, join_prices
+from shelfspan.operators.panel import series_window
 from shelfspan.operators.price import (
-    add_discounts,
     add_group_ratio,
     add_price_bin,
-    add_price_windows,
     add_relative_change,
     add_rolling_price,
+    discount_columns,
     fill_prices,
+    momentum_columns,
+    relative_change,
 )
 from shelfspan.schemas import CALENDAR_TEXT, EPSILON, EVENT_COLUMNS, HIERARCHY, SERIES
-from shelfspan.session import settle
+from shelfspan.session import settle, shared_folder
 
 
-def add_temporal(df: DataFrame, start: F.Column) -> DataFrame:
-    """Calendar parts, approximate month edges, cycles and positions."""
-    df = df.withColumns({**date_parts(), "is_weekend": weekend()})
+def temporal_columns(start: F.Column) -> dict[str, F.Column]:
+    """Approximate month edges, cycles and positions over existing calendar parts."""
     added = near_month_edges(F.col("day"))
     # Periods of the cyclic encodings.
     for name, period in (("month", 12), ("dayofweek", 7), ("day", 31)):
         added[f"{name}_sin"], added[f"{name}_cos"] = cyclic(F.col(name), period)
     added["days_since_start"] = F.datediff(F.col("date"), start)
     added["relative_day_of_year"] = F.col("dayofyear") / 365.25
-    return df.withColumns(added)
+    return added
+
+
+def add_temporal(df: DataFrame, start: F.Column) -> DataFrame:
+    """Calendar parts, approximate month edges, cycles and positions."""
+    return df.withColumns({**date_parts(), "is_weekend": weekend()}).withColumns(temporal_columns(start))
 
 
 def add_temporal_variant(df: DataFrame) -> DataFrame:
@@ -77,9 +88,13 @@ def add_temporal_variant(df: DataFrame) -> DataFrame:
 
 
 def encode_calendar(calendar: DataFrame, codes: DataFrame) -> DataFrame:
-    """Event flags and codes on the calendar itself; its texts are dropped."""
+    """Calendar with its parts, cycles, event flags and codes; its texts are dropped.
+
+    Everything that depends on the day alone is computed once per day.
+    """
     events = {f"{c}_encoded_exists": flag(F.col(c).isNotNull()) for c in EVENT_COLUMNS}
-    coded = apply_codes(calendar.withColumns({**events, **event_flags()}), codes, CALENDAR_TEXT, missing="None")
+    dated = add_temporal(calendar, calendar.agg(F.min("date")).scalar()).withColumns({**events, **event_flags()})
+    coded = apply_codes(dated, codes, CALENDAR_TEXT, missing="None")
     return coded.drop("has_event_1", "has_event_2", *CALENDAR_TEXT)
 
 
@@ -100,50 +115,80 @@ def forecasting_features(sales: DataFrame, calendar: DataFrame, prices: DataFram
     return forecasting_features_from(priced, calendar)
 
 
+def _lookups(priced: DataFrame, calendar: DataFrame) -> dict[str, DataFrame]:
+    """Stored lookup tables of the chain; independent ones are written side by side."""
+
+    def codes():
+        series = settle(add_combinations(priced.select(*HIERARCHY).distinct(), HIERARCHY_COMBINATIONS), "series")
+        days = settle(calendar, "calendar")
+        columns = [*HIERARCHY, *HIERARCHY_COMBINATIONS]
+        table = fit_codes(category_values(series, columns).unionByName(category_values(days, CALENDAR_TEXT, "None")))
+        coded = apply_codes(series, table, columns)
+        return {
+            "series": settle(coded.drop("dept_id", "cat_id", "state_id", *HIERARCHY_COMBINATIONS), "coded_series"),
+            "calendar": settle(encode_calendar(days, table).drop("date", "wm_yr_wk"), "coded_calendar"),
+        }
+
+    def profile():
+        table = settle(item_month_profile(priced), "profile")
+        means = table.groupBy("cat_id").agg(ratio(F.sum("price_sum"), F.sum("price_count")).alias("cat_price_mean"))
+        return {"item_month": table, "category": settle(means, "category")}
+
+    def item_day():
+        means = priced.groupBy("date", "item_id").agg(F.avg("demand").alias("item_day_mean"))
+        return {"item_day": settle(means, "item_day")}
+
+    def store_category():
+        rivals = priced.groupBy("store_id", "cat_id", "date").agg(F.count_distinct("item_id").alias("category_competition"))
+        return {"store_category": settle(rivals, "store_category")}
+
+    shared_folder(priced.sparkSession)
+    tasks = [inheritable_thread_target(priced.sparkSession)(task) for task in (codes, profile, item_day, store_category)]
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        done = [pool.submit(task) for task in tasks]
+        return {name: table for job in done for name, table in job.result().items()}
+
+
 def forecasting_features_from(priced: DataFrame, calendar: DataFrame) -> DataFrame:
-    """The same table from an already priced panel."""
-    series = settle(
-        add_combinations(priced.select(*HIERARCHY).distinct(), HIERARCHY_COMBINATIONS), "series"
-    )
-    calendar = settle(calendar, "calendar")
-    series_columns = [*HIERARCHY, *HIERARCHY_COMBINATIONS]
-    values = category_values(series, series_columns).unionByName(category_values(calendar, CALENDAR_TEXT, "None"))
-    codes = fit_codes(values)
-    coded_series = apply_codes(series, codes, series_columns).drop("dept_id", "cat_id", "state_id", *HIERARCHY_COMBINATIONS)
-    coded_calendar = encode_calendar(calendar, codes).drop("date", "wm_yr_wk")
-
-    profile = settle(item_month_profile(priced), "profile")
-    per_item_month = profile.select("item_id", "_m", "item_price_mean", "first_sale", "seasonal_strength")
-    per_category = profile.groupBy("cat_id").agg(
-        ratio(F.sum("price_sum"), F.sum("price_count")).alias("cat_price_mean")
-    )
-    per_item_day = priced.groupBy("date", "item_id").agg(F.avg("demand").alias("item_day_mean"))
-    per_store_cat = priced.groupBy("store_id", "cat_id", "date").agg(
-        F.count_distinct("item_id").alias("category_competition")
-    )
+    """The same table from an already priced panel.
+
+    Lookups that may have to shuffle are joined first, while rows are narrow.
+    All window columns follow in one step behind one exchange on the series;
+    calendar and series columns come last, by broadcast or on the same key.
+    """
+    tables = _lookups(priced, calendar)
+    per_item_month = tables["item_month"].select("item_id", "_m", "item_price_mean", "first_sale", "seasonal_strength")
 
     df = priced.withColumn("_m", F.month("date"))
     df = attach(df, per_item_month, ["item_id", "_m"], spread_by=["store_id", "date"], settled=True).drop("_m")
-    df = attach(df, per_category, ["cat_id"], spread_by=["item_id", "store_id", "date"])
-    df = attach(df, per_item_day, ["date", "item_id"], spread_by=["store_id"])
-    df = attach(df, per_store_cat, ["store_id", "cat_id", "date"], spread_by=["item_id"])
-    df = attach(df, coded_calendar, ["d"])
-    df = attach(df, coded_series, SERIES)
-
-    df = add_temporal(df, priced.agg(F.min("date")).scalar())
-    df = add_days_since_sale(add_intermittency(add_rolling(add_activity(add_lags(add_price_windows(df))))))
-    df = add_ewm(add_discounts(add_velocity(add_spread(df))))
+    df = attach(df, tables["category"], ["cat_id"], spread_by=["item_id", "store_id", "date"], settled=True)
+    df = attach(df, tables["item_day"], ["date", "item_id"], spread_by=["store_id"], settled=True)
+    df = attach(df, tables["store_category"], ["store_id", "cat_id", "date"], spread_by=["item_id"], settled=True)
+
+    price = F.col("sell_price")
+    df = df.withColumns(
+        {
+            **lag_columns(), **activity_columns(), **rolling_columns(), **intermittency_columns(), **momentum_columns(),
+            "days_since_last_sale": days_since_sale(),
+            # The filled price has no gaps left to pad, so the last row is the last known one.
+            "_last_price": F.lag("sell_price").over(series_window()),
+        }
+    )
+    df = add_ewm(df)
+    df = attach(df, tables["series"], SERIES, settled=True)
+    df = attach(df, tables["calendar"], ["d"], settled=True)
+    df = df.withColumns({"price_change": price - F.col("_last_price"), "price_change_pct": relative_change(price, F.col("_last_price"))})
     df = df.withColumns(
         {
-            "price_vs_item_avg": ratio(F.col("sell_price"), F.col("item_price_mean")),
-            "price_vs_cat_avg": ratio(F.col("sell_price"), F.col("cat_price_mean")),
+            **lag_details(), **spread_columns(), **velocity_columns(), **discount_columns(), **price_interactions(), **code_interactions(),
+            "price_vs_item_avg": ratio(price, F.col("item_price_mean")),
+            "price_vs_cat_avg": ratio(price, F.col("cat_price_mean")),
             "price_elasticity_signal": price_elasticity(),
             "item_age_days": item_age(),
             "store_performance": F.col("demand") / (F.col("item_day_mean") + EPSILON),
         }
     )
-    df = add_code_interactions(add_price_interactions(df))
-    return df.drop("item_price_mean", "cat_price_mean", "first_sale", "item_day_mean", "has_any_event")
+    return df.drop("item_price_mean", "cat_price_mean", "first_sale", "item_day_mean", "has_any_event", "_last_price")
 
 
 def variant_features(integrated: DataFrame, target: str = "demand") -> DataFrame:

@@ -375,7 +375,7 @@ def store(spark, folder):
 
 
 GROUPED = {
-    "temporal": ("year", "month", "day", "dayofweek", "dayofyear", "week", "quarter"), "lag": ("demand_lag_7",),
+    "temporal": ("year", "month", "day", "dayofweek", "dayofyear", "week"), "lag": ("demand_lag_7",),
     "rolling": ("demand_rolling_mean_7",), "price": ("sell_price",),
 }
 GROUP_VALUES = {**PARTS, "demand_lag_7": _lag(7), "demand_rolling_mean_7": f"AVG(demand) OVER {rows(7)}", "sell_price": "sell_price"}

@@ -129,14 +129,20 @@ def ewm_sql(table: str, head: str) -> str:
     for a in EWM_ALPHAS:
         name = str(a).replace(".", "_")
         tail = f"list_slice(w_{name}, -len(l_{name}), -1)"
-        out.append(f(f"list_inner_product(l_{name}, {tail}) / list_sum({tail})", f"demand_ewm_{name}"))
+        out.append(f(f"list_inner_product(l_{name}, {tail}) / list_sum({tail}) + 1e-9", f"demand_ewm_{name}"))
     return head + f"""SELECT {cols(KEY, *out)} FROM
       (SELECT store_id, item_id, date, {cols(*parts)} FROM {table}) CROSS JOIN (SELECT {cols(*weights)})"""
 
 
+def nudged_ewm(df):
+    """Early rows give exact halves at the compared digit; both sides are nudged off them."""
+    names = [c for c in df.columns if "_ewm_" in c]
+    return df.select(*KEYS, *[(F.col(c) + 1e-9).alias(c) for c in names])
+
+
 @query("w10_adjusted_ewm", ewm_sql("panel", with_panel()))
 def adjusted_ewm(spark, folder):
-    return demand.add_ewm(narrow(spark, folder)).drop("demand")
+    return nudged_ewm(demand.add_ewm(narrow(spark, folder)))
 
 
 def _recursive_sql() -> str:
@@ -155,9 +161,7 @@ def _recursive_sql() -> str:
 
 @query("w11_recursive_ewm", _recursive_sql())
 def recursive_ewm(spark, folder):
-    """Spans 7 and 14 give exact halves at the compared digit; both sides are nudged off them."""
-    full = demand.add_recursive_ewm(narrow(spark, folder))
-    return full.select(*KEYS, *[(F.col(f"demand_ewm_{n}") + 1e-9).alias(f"demand_ewm_{n}") for n in EWM_SPANS])
+    return nudged_ewm(demand.add_recursive_ewm(narrow(spark, folder)))
 
 
 @query(
@@ -341,7 +345,7 @@ def event_windows(spark, folder):
 
 @query("w_events_panel_ewm", ewm_sql("epanel", "WITH " + EVENT_PANEL + " "))
 def event_ewm(spark, folder):
-    return demand.add_ewm(retail.event_panel(spark, folder)).drop("demand")
+    return nudged_ewm(demand.add_ewm(retail.event_panel(spark, folder)))
 
 
 @query(

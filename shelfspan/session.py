@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The feature table is wider than the default limit for whole-stage code.
+    "spark.sql.codegen.maxFields": "200",
     # Lets a join on (series, week) reuse a partitioning on the series alone.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
