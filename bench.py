@@ -32,8 +32,8 @@ def main() -> None:
         "bench", f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
-            # A narrow panel grows into 132 columns, so small inputs keep all cores.
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            # A narrow panel grows into 132 columns, so small partitions are kept apart.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

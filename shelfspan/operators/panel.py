@@ -26,14 +26,15 @@ def densify(
 ) -> DataFrame:
     """One row per series and day between two dates, zero where nothing sold.
 
-    Empty days are added as zero rows and summed together with the sales, so
-    both meet in one pre-aggregated shuffle instead of a join. The result holds
-    at most one row per series and day: a series never outgrows the calendar.
+    Sales are summed map-side first, then joined to the days of every series;
+    both sides hold at most one row per series and day, so no key is hot and a
+    series never outgrows the calendar.
     """
     every_day = F.explode(F.sequence(low, high, F.expr("interval 1 day")))
-    spine = sales.select(*keys).distinct().select(*keys, every_day.alias(date), F.lit(0).cast("long").alias(amount))
-    moved = sales.select(*keys, date, F.col(amount).cast("long").alias(amount))
-    return spine.unionByName(moved).groupBy(*keys, date).agg(F.sum(amount).alias(amount))
+    spine = sales.select(*keys).distinct().select(*keys, every_day.alias(date))
+    sold = sales.groupBy(*keys, date).agg(F.sum(F.col(amount).cast("long")).alias(amount))
+    known = F.coalesce(F.col(amount), F.lit(0).cast("long"))
+    return spine.join(sold, [*keys, date], "left").withColumn(amount, known)
 
 
 def series_window(keys: Sequence[str] = SERIES, order: str = "date") -> Window:

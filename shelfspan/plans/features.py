@@ -57,7 +57,7 @@ from shelfspan.operators.price import (
     momentum_columns,
     relative_change,
 )
-from shelfspan.schemas import CALENDAR_TEXT, EPSILON, EVENT_COLUMNS, HIERARCHY, SERIES
+from shelfspan.schemas import CALENDAR, CALENDAR_TEXT, EPSILON, EVENT_COLUMNS, HIERARCHY, SERIES
 from shelfspan.session import settle, shared_folder
 
 
@@ -109,8 +109,10 @@ def forecasting_features(sales: DataFrame, calendar: DataFrame, prices: DataFram
 
     The priced panel is stored once. Group statistics come from it in three
     small aggregates and are joined while rows are narrow; the wide window
-    features follow behind a single exchange on the series.
+    features follow behind a single exchange on the series. Columns a calendar
+    reader may have added are left out and computed here.
     """
+    calendar = calendar.select(*CALENDAR.fieldNames())
     priced = price_panel(sales, calendar, prices)
     return forecasting_features_from(priced, calendar)
 

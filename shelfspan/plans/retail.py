@@ -20,9 +20,10 @@ def _state(key) -> F.Column:
     return F.when(key % 3 == 0, "CA").when(key % 3 == 1, "TX").otherwise("WI")
 
 
-def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
+def sale_lines(spark: SparkSession, folder: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Line items with item, store, date, quantity and unit price in whole cents."""
-    lines = table(spark, folder, "lineitem").select(
+    lineitem = table(spark, folder, "lineitem") if lineitem is None else lineitem
+    lines = lineitem.select(
         "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("date"), "l_quantity", "l_extendedprice"
     )
     part = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("item_id"))
@@ -38,18 +39,17 @@ def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def first_day(spark: SparkSession, folder: str) -> F.Column:
-    return table(spark, folder, "lineitem").agg(F.to_date(F.min("l_shipdate"))).scalar()
-
-
-def last_day(spark: SparkSession, folder: str) -> F.Column:
-    return table(spark, folder, "lineitem").agg(F.to_date(F.max("l_shipdate"))).scalar()
+def date_bounds(lineitem: DataFrame) -> tuple[F.Column, F.Column]:
+    """First and last ship date as scalar subqueries, which Spark merges into one scan."""
+    first, last = F.min("l_shipdate"), F.max("l_shipdate")
+    return lineitem.agg(F.to_date(first)).scalar(), lineitem.agg(F.to_date(last)).scalar()
 
 
 def panel(spark: SparkSession, folder: str) -> DataFrame:
     """Dense daily demand with its hierarchy, day label and day number."""
-    lines = sale_lines(spark, folder)
-    low, high = first_day(spark, folder), last_day(spark, folder)
+    lineitem = table(spark, folder, "lineitem")
+    lines = sale_lines(spark, folder, lineitem)
+    low, high = date_bounds(lineitem)
     sales = lines.select("store_id", "item_id", "state_id", "date", F.col("quantity").alias("demand"))
     dense = densify(sales, low, high, keys=("store_id", "item_id", "state_id"))
     brand = F.regexp_extract("item_id", "([0-9]+)", 1).cast("int")
@@ -117,9 +117,10 @@ def calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 def prices(spark: SparkSession, folder: str) -> DataFrame:
     """Highest unit price per store, item and week; weeks without sales are missing."""
-    low = first_day(spark, folder)
+    lineitem = table(spark, folder, "lineitem")
+    low, _ = date_bounds(lineitem)
     week = (F.floor(F.datediff(F.col("date"), low) / 7) + 1).cast("int")
-    return sale_lines(spark, folder).groupBy("store_id", "item_id", week.alias("wm_yr_wk")).agg(
+    return sale_lines(spark, folder, lineitem).groupBy("store_id", "item_id", week.alias("wm_yr_wk")).agg(
         F.max("unit_price").alias("sell_price")
     )
 
