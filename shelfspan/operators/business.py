@@ -65,17 +65,11 @@ def item_month_profile(df: DataFrame, target: str = "demand") -> DataFrame:
     base = df.groupBy("item_id", "cat_id", F.month("date").alias("_m")).agg(
         F.sum("sell_price").alias("_ps"),
         F.count("sell_price").alias("_pn"),
-        F.sum(target).alias("_ds"),
-        F.count(target).alias("_dn"),
+        F.avg(target).alias("_month_mean"),
         F.min(F.when(F.col(target) > 0, F.col("date"))).alias("_first"),
     )
     item = Window.partitionBy("item_id")
-    per_month = base.groupBy("item_id", "cat_id", "_m").agg(
-        *[F.sum(c).alias(c) for c in ("_ps", "_pn")],
-        F.min("_first").alias("_first"),
-        F.try_divide(F.sum("_ds"), F.sum("_dn")).alias("_month_mean"),
-    )
-    return per_month.select(
+    return base.select(
         "item_id",
         "cat_id",
         "_m",

@@ -65,9 +65,9 @@ def join_economic(sales: DataFrame, economic: DataFrame) -> DataFrame:
     return attach(keyed, monthly, ["_month"], spread_by=["store_id", "item_id"]).drop("_month")
 
 
-def keep_known(df: DataFrame, known: DataFrame, column: str) -> DataFrame:
+def keep_known(df: DataFrame, known: DataFrame, column: str, spread_by: Sequence[str] = ()) -> DataFrame:
     """Rows whose value of ``column`` occurs in ``known``."""
-    return df.join(known.select(column).distinct(), column, "left_semi")
+    return attach(df, known.select(column).distinct(), [column], how="left_semi", spread_by=spread_by)
 
 
 def unseen_values(df: DataFrame, known: DataFrame, column: str) -> DataFrame:

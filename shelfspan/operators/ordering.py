@@ -128,7 +128,7 @@ def first_items(df: DataFrame, n: int, item: str = "item_id", seen: str = "date"
 
 def keep_first_items(df: DataFrame, n: int, item: str = "item_id", seen: str = "date") -> DataFrame:
     """Rows of the first ``n`` distinct items."""
-    return df.join(first_items(df, n, item, seen), item, "left_semi")
+    return attach(df, first_items(df, n, item, seen), [item], how="left_semi", spread_by=[seen])
 
 
 def trailing_days(df: DataFrame, days: int, column: str = "day_num") -> DataFrame:

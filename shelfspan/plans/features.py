@@ -159,10 +159,10 @@ def forecasting_features_from(priced: DataFrame, calendar: DataFrame) -> DataFra
     calendar and series columns come last, by broadcast or on the same key.
     """
     tables = _lookups(priced, calendar)
-    per_item_month = tables["item_month"].select("item_id", "_m", "item_price_mean", "first_sale", "seasonal_strength")
+    per_item_month = tables["item_month"].select("item_id", "cat_id", "_m", "item_price_mean", "first_sale", "seasonal_strength")
 
     df = priced.withColumn("_m", F.month("date"))
-    df = attach(df, per_item_month, ["item_id", "_m"], spread_by=["store_id", "date"], settled=True).drop("_m")
+    df = attach(df, per_item_month, ["item_id", "cat_id", "_m"], spread_by=["store_id", "date"], settled=True).drop("_m")
     df = attach(df, tables["category"], ["cat_id"], spread_by=["item_id", "store_id", "date"], settled=True)
     df = attach(df, tables["item_day"], ["date", "item_id"], spread_by=["store_id"], settled=True)
     df = attach(df, tables["store_category"], ["store_id", "cat_id", "date"], spread_by=["item_id"], settled=True)
@@ -196,8 +196,9 @@ def forecasting_features_from(priced: DataFrame, calendar: DataFrame) -> DataFra
 def variant_features(integrated: DataFrame, target: str = "demand") -> DataFrame:
     """The second feature set, over an integrated panel keyed by ``id``.
 
-    Expects ids, date, demand, sell_price, event names and snap columns; weather
-    columns are used where present.
+    Expects a stored table (it is read several times) with ids, date, demand,
+    sell_price, event names and snap columns. Weather and indicator features are
+    separate steps, on the tables those signals come in.
     """
     key = ["id"]
     snaps = [c for c in integrated.columns if c.startswith("snap_")]
@@ -208,10 +209,10 @@ def variant_features(integrated: DataFrame, target: str = "demand") -> DataFrame
     df = add_temporal_variant(df)
     df = add_combinations(df.withColumns({**event_flags(), **snap_flags(snaps), **holiday_windows()}), SEASON_COMBINATIONS)
     columns = [*HIERARCHY, *SEASON_COMBINATIONS]
-    combos = add_combinations(
-        add_temporal_variant(integrated.select(*HIERARCHY, "date").distinct()), SEASON_COMBINATIONS
-    )
-    codes = fit_codes(category_values(combos, columns))
+    seasons = integrated.select(
+        *HIERARCHY, F.month("date").alias("month"), F.quarter("date").alias("quarter"), weekend().alias("is_weekend")
+    ).distinct()
+    codes = fit_codes(category_values(add_combinations(seasons, SEASON_COMBINATIONS), columns))
     df = apply_codes(df, codes, columns, spread_by=["id", "date"])
     df = add_recursive_ewm(add_rolling(add_lags(df, keys=key, detail=False), keys=key), keys=key)
     df = add_rolling_price(add_relative_change(df, "price_change", "sell_price", key), keys=key)

@@ -111,7 +111,7 @@ def known_items(frame):
 )
 def semi(spark, folder):
     frame = retail.panel(spark, folder)
-    return joins.keep_known(frame, known_items(frame), "item_id").select(*KEYS, "demand")
+    return joins.keep_known(frame, known_items(frame), "item_id", ["store_id", "date"]).select(*KEYS, "demand")
 
 
 @query(
@@ -177,7 +177,7 @@ def trailing(spark, folder):
 def first_items(spark, folder):
     frame = retail.panel(spark, folder).select(*KEYS, "demand")
     chosen = ordering.first_items(frame.where(F.col("demand") > 0), 10)
-    return frame.join(chosen, "item_id", "left_semi")
+    return joins.attach(frame, chosen, ["item_id"], how="left_semi", spread_by=["store_id", "date"])
 
 
 @query("r07_nonzero_rows", with_panel() + f"SELECT {KEY}, {i('demand')} FROM panel WHERE demand > 0")
