@@ -87,11 +87,6 @@ def snap_flags(columns: Sequence[str]) -> dict[str, Column]:
     return {"snap_total": total, "has_snap": flag(total > 0)}
 
 
-def day_number(label: Column) -> Column:
-    """The integer inside a day label; null if there is none."""
-    return F.expr(f"try_cast(nullif(regexp_extract({label._jc.toString()}, '([0-9]+)', 1), '') as int)")
-
-
 def binned(value: Column, edges: Sequence[Column | float], labels: Sequence[str]) -> Column:
     """Right-closed bins with the given inner edges; nulls stay null."""
     chain = F.when(value.isNull(), None)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspan.functions.scalar import flag, ratio
+from shelfspan.functions.scalar import flag
 from shelfspan.operators.panel import series_window, trailing
 from shelfspan.schemas import (
     ACTIVE_WINDOWS,
@@ -203,8 +203,3 @@ def naive_forecast(keys=SERIES, target="demand") -> Column:
 def mean_forecast(rows: int = 7, keys=SERIES, target="demand") -> Column:
     """Mean of the preceding rows, 0 for the first row."""
     return F.coalesce(F.avg(target).over(trailing(rows, keys, shift=1)), F.lit(0.0))
-
-
-def share_of_group(value: Column, group_mean: Column) -> Column:
-    """A value relative to its group's mean."""
-    return ratio(value, group_mean)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shelfspan.operators.evaluate import basic_metrics
 from shelfspan.operators.joins import attach
-from shelfspan.operators.prepare import align_columns, assemble, feature_groups, fit_medians, impute
+from shelfspan.operators.prepare import align_columns, assemble, feature_groups, fit_medians
 from shelfspan.session import settle, shared_folder
 
 LABEL = "demand"
@@ -262,11 +262,6 @@ class MatrixModel(Model, _MatrixParams, DefaultParamsReadable, DefaultParamsWrit
         return assemble(filled, names, self.getOrDefault(self.outputCol))
 
 
-def prepared(train_rows: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Impute from training medians and assemble, without a pipeline."""
-    return assemble(impute(df, columns, fit_medians(train_rows, columns)), columns)
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

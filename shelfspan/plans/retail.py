@@ -16,7 +16,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _state(key) -> F.Column:
+def state_of(key) -> F.Column:
     return F.when(key % 3 == 0, "CA").when(key % 3 == 1, "TX").otherwise("WI")
 
 
@@ -30,7 +30,7 @@ def sale_lines(spark: SparkSession, folder: str, lineitem: DataFrame | None = No
     supplier = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     nation = table(spark, folder, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
     region = table(spark, folder, "region").select(
-        F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("store_id"), _state(F.col("r_regionkey")).alias("state_id")
+        F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("store_id"), state_of(F.col("r_regionkey")).alias("state_id")
     )
     keyed = lines.join(part, "l_partkey").join(supplier, "l_suppkey")
     return keyed.join(nation, "s_nationkey").join(region, "n_regionkey").select(
@@ -133,7 +133,7 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
     keyed = orders.join(customer, "o_custkey").join(nation, "c_nationkey")
     top, low = F.max("o_totalprice"), F.min("o_totalprice")
     n = F.count(F.lit(1))
-    return keyed.groupBy(F.to_date("o_orderdate").alias("date"), _state(F.col("n_regionkey")).alias("state_id")).agg(
+    return keyed.groupBy(F.to_date("o_orderdate").alias("date"), state_of(F.col("n_regionkey")).alias("state_id")).agg(
         (top / 5000).alias("tempmax"),
         (low / 5000).alias("tempmin"),
         ((top + low) / 10000).alias("temp"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from shelfspan.operators import quality
 from shelfspan.operators.panel import date_gaps
 from shelfspan.plans import etl, retail

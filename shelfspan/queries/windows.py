@@ -297,7 +297,7 @@ def state_month(spark, folder):
     customer = retail.table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     nation = retail.table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
     keyed = orders.join(customer, "o_custkey").join(nation, "n_nationkey")
-    state = retail._state(F.col("n_regionkey")).alias("state_id")
+    state = retail.state_of(F.col("n_regionkey")).alias("state_id")
     return keyed.groupBy(state, "date").agg(F.count(F.lit(1)).cast("double").alias("UNRATE"))
 
 
