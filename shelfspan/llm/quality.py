@@ -23,7 +23,7 @@ from shelfspan.session import settle
 BITS = 16
 PRIOR = 1.0
 #: Share of the trusted documents that may fall below the threshold.
-QUANTILE = 0.005
+QUANTILE = 0.001
 #: Scores are counted in bins of this width between -LIMIT and LIMIT.
 BIN, LIMIT = 0.001, 20.0
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8

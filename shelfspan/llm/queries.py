@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspan.llm import language, licences, mixing, near_dedup, pieces, quality, secret_scan, toxicity
+from shelfspan.llm import language, licences, mixing, near_dedup, neighbours, pieces, quality, secret_scan, toxicity
 from shelfspan.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -41,6 +41,10 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.held_out_languages(read(spark, folder, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = licences.scan(read(spark, folder, "documents"))
     return found.select("doc_id", "n_sentences", *[F.array_join(c, ",").alias(c) for c in ("sentence_ids", "rule_ids", "licences")])
@@ -52,5 +56,5 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_source_mix, op3_secret_scan, op4_quality_rules, op5_sentencepiece, op7_language_id, op9_licence_scan, op10_near_dedup)
+    for f in (op1_toxicity, op2_source_mix, op3_secret_scan, op4_quality_rules, op5_sentencepiece, op7_language_id, op8_neighbours, op9_licence_scan, op10_near_dedup)
 }
