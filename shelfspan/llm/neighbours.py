@@ -25,10 +25,10 @@ from shelfspan.session import settle
 
 K = 20
 #: Neighbours of a node in the graph; blocks of the first round: their size, and how many orders of all nodes.
-DEGREE, BLOCK, TREES = 32, 1024, 16
+DEGREE, BLOCK, TREES = 40, 1024, 20
 ROUNDS = 2
 #: Nearest nodes a query keeps, how many of them it follows in a step, steps.
-BEAM, FOLLOW, STEPS = 64, 24, 2
+BEAM, FOLLOW, STEPS = 80, 40, 3
 SEED = 5
 LISTS = "node long, ids array<long>, sims array<float>"
 
