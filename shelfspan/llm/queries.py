@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspan.llm import language, licences, mixing, near_dedup, neighbours, pieces, quality, secret_scan, toxicity
+from shelfspan.llm import language, licences, mixing, near_dedup, neighbours, pieces, quality, secret_scan, suffixes, toxicity
 from shelfspan.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -37,6 +37,11 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(read(spark, folder, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffixes.remove_repeats(read(spark, folder, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.held_out_languages(read(spark, folder, "documents"))
 
@@ -56,5 +61,5 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_source_mix, op3_secret_scan, op4_quality_rules, op5_sentencepiece, op7_language_id, op8_neighbours, op9_licence_scan, op10_near_dedup)
+    for f in (op1_toxicity, op2_source_mix, op3_secret_scan, op4_quality_rules, op5_sentencepiece, op6_suffix_dedup, op7_language_id, op8_neighbours, op9_licence_scan, op10_near_dedup)
 }
