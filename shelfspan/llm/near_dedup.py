@@ -26,6 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspan.llm.blobs import by_part, groups, pack, unpack
 from shelfspan.llm.graph import components
 from shelfspan.llm.text import WORD, column_of, slices, strings
 from shelfspan.operators.joins import attach
@@ -38,8 +39,11 @@ BANDS, ROWS = 12, 3
 FREQUENCY_BITS = 17
 TABLE_BITS = 14
 #: Expected pivots of a bucket in the second round; rows compared in one group.
-PIVOTS, CHUNK = 4, 32
-KNOWN_WORDS = 300_000
+PIVOTS, CHUNK = 16, 32
+KNOWN_WORDS = 200_000
+HASH_BITS = 44
+#: Shingles sampled at once, so that the work stays in the processor's cache.
+AT_ONCE = 40_000
 # Odd multipliers of the hashes.
 ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
@@ -79,22 +83,22 @@ class Shingler:
         if n <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
         of = np.repeat(np.arange(len(texts)), lengths)
-        code = np.zeros(n, np.uint64)
-        for k in range(SHINGLE):
-            code = _mix(code * ODD[0] + words[k : n + k] + ODD[1])
+        code = words[:n].copy()
+        for k in range(1, SHINGLE):
+            code *= ODD[0]
+            code += words[k : n + k]
         inside = of[:n] == of[SHINGLE - 1 :]
-        code, of = code[inside], of[:n][inside]
-        order = np.lexsort((code, of))
-        code, of = code[order], of[order]
-        new = np.ones(len(code), bool)
-        new[1:] = (code[1:] != code[:-1]) | (of[1:] != of[:-1])
-        at = np.flatnonzero(new)
-        counts = np.diff(np.append(at, len(code)))
-        return code[at], counts, np.searchsorted(of[at], np.arange(len(texts) + 1))
+        # The text's number and the hash in one sortable number.
+        both = np.sort((of[:n][inside].astype(np.uint64) << np.uint64(HASH_BITS)) | (_mix(code[inside]) >> np.uint64(64 - HASH_BITS)))
+        at = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(at, len(both)))
+        both = both[at]
+        bounds = np.searchsorted(both, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(HASH_BITS))
+        return both & np.uint64((1 << HASH_BITS) - 1), counts, bounds
 
 
 def bucket_of(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
+    return (shingles >> np.uint64(HASH_BITS - FREQUENCY_BITS)).astype(np.int64)
 
 
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
@@ -125,30 +129,40 @@ def draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tables of Gamma(2, 1) draws, logarithms of such draws, and uniform draws, from fixed seeds."""
     random = np.random.Generator(np.random.PCG64(20))
     size = 1 << TABLE_BITS
-    return random.gamma(2, 1, size), np.log(random.gamma(2, 1, size)), random.random(size)
+    return tuple(x.astype(np.float32) for x in (random.gamma(2, 1, size), np.log(random.gamma(2, 1, size)), random.random(size)))
 
 
 def samples(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, number: int) -> np.ndarray:
     """One 64-bit mark per text and draw: the chosen shingle with its quantised weight. Texts must have shingles."""
     scale, shift, offset = draws()
-    of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    log_weight, mask = np.log(weights), np.uint64((1 << TABLE_BITS) - 1)
-    out = np.zeros((len(starts) - 1, number), np.uint64)
-    for k in range(number):
-        hashed = _mix(shingles + np.array([k + 1], np.uint64) * ODD[2])
-        r = scale[hashed & mask]
-        beta = offset[(hashed >> np.uint64(TABLE_BITS)) & mask]
-        level = np.floor(log_weight / r + beta)
-        cost = shift[(hashed >> np.uint64(2 * TABLE_BITS)) & mask] - r * (level - beta) - r
-        least = np.minimum.reduceat(cost, starts[:-1])
-        at = np.flatnonzero(cost == least[of])
-        first = at[np.searchsorted(of[at], np.arange(len(starts) - 1))]
-        out[:, k] = _mix(shingles[first] + level[first].astype(np.int64).astype(np.uint64) * ODD[0])
+    n = len(starts) - 1
+    out = np.zeros((n, number), np.uint64)
+    mask = np.uint64((1 << TABLE_BITS) - 1)
+    first = 0
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + AT_ONCE, "right")) - 1)
+        part = slice(int(starts[first]), int(starts[last]))
+        own, log_weight = shingles[part], np.log(weights[part]).astype(np.float32)
+        begins = starts[first:last] - starts[first]
+        of = np.repeat(np.arange(last - first), np.diff(starts[first : last + 1]))
+        for k in range(number):
+            hashed = (own + ODD[1]) * (ODD[2] * np.array([2 * k + 1], np.uint64)) >> np.uint64(64 - 3 * TABLE_BITS)
+            r = scale[hashed & mask]
+            beta = offset[(hashed >> np.uint64(TABLE_BITS)) & mask]
+            level = np.floor(log_weight / r + beta)
+            cost = shift[hashed >> np.uint64(2 * TABLE_BITS)] - r * (level - beta + np.float32(1))
+            at = np.flatnonzero(cost == np.minimum.reduceat(cost, begins)[of])
+            chosen = at[np.searchsorted(of[at], np.arange(last - first))]
+            out[first:last, k] = _mix(own[chosen] + level[chosen].astype(np.int64).astype(np.uint64) * ODD[0])
+        first = last
     return out
 
 
 def signatures(docs: DataFrame, inverse: np.ndarray) -> DataFrame:
-    """``doc_id, text_hash, bands`` of every row; bands is empty for texts without words."""
+    """``doc_id, text_hash, weight, bands`` of every row; bands is empty for texts without words.
+
+    ``weight`` is the sum of the weights of the text's shingles.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(inverse)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,9 +172,11 @@ def signatures(docs: DataFrame, inverse: np.ndarray) -> DataFrame:
             shingles, counts, starts = shingler(texts)
             some = np.flatnonzero(np.diff(starts) > 0)
             bands = np.zeros((len(some), BANDS), np.uint64)
+            total = np.zeros(len(texts))
             if len(some):
                 weights = counts * shared.value[bucket_of(shingles)]
                 marks = samples(shingles, weights, np.append(starts[some], starts[-1]), BANDS * ROWS).reshape(len(some), BANDS, ROWS)
+                total[some] = np.add.reduceat(weights, starts[some])
                 for row in range(ROWS):
                     bands = _mix(bands * ODD[0] + marks[:, :, row])
                 bands = _mix(bands + np.arange(BANDS, dtype=np.uint64) * ODD[1])
@@ -168,9 +184,9 @@ def signatures(docs: DataFrame, inverse: np.ndarray) -> DataFrame:
             sizes[some + 1] = BANDS
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(bands.ravel().astype(np.int64)))
             hashes = pa.array([xxhash.xxh3_128_digest(t.encode()) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), hashes, lists], ["doc_id", "text_hash", "bands"])
+            yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), hashes, pa.array(total), lists], ["doc_id", "text_hash", "weight", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text_hash binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text_hash binary, weight double, bands array<long>")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -232,6 +248,86 @@ def verify(pairs: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity:
     return dealt.mapInArrow(compare, "a long, b long, linked boolean")
 
 
+def shared_weights(texts: DataFrame, inverse: np.ndarray, parts: int) -> DataFrame:
+    """``node, shared``: the weight of the shingles that another of these texts holds too; without a row it is 0.
+
+    Shingles meet by hash in blobs. What several texts of one task share is
+    added up there, and one entry tells the other tasks.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(inverse)
+    schema = "part long, node long, shared double, codes binary, nodes binary, weights binary, told binary"
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), *[pa.binary()] * 4]
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    def sums(nodes: np.ndarray, weights: np.ndarray) -> list[tuple]:
+        which, index = np.unique(nodes, return_inverse=True)
+        return [(n % parts, n, w, None, None, None, None) for n, w in zip(which.tolist(), np.bincount(index, weights=weights).tolist(), strict=True)]
+
+    def local(held: list[tuple]) -> list[tuple]:
+        codes, nodes, weights = map(np.concatenate, zip(*held, strict=True))
+        order = np.argsort(codes, kind="stable")
+        codes, nodes, weights = codes[order], nodes[order], weights[order]
+        first = groups(codes)
+        sizes = np.diff(np.append(first, len(codes)))
+        here = np.repeat(sizes > 1, sizes)
+        rows = sums(nodes[here], weights[here])
+        send = ~here
+        send[first[sizes > 1]] = True
+        codes, nodes, weights, here = codes[send], nodes[send], weights[send], here[send]
+        for part, at in by_part((codes % np.uint64(parts)).astype(np.int64)):
+            rows.append((part, None, None, pack(np.diff(codes[at], prepend=np.uint64(0))), pack(nodes[at]), pack(weights[at]), pack(here[at].astype(np.uint8))))
+        return rows
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, unpack_text = Shingler(), zstandard.ZstdDecompressor()
+        held, size = [], 0
+        for batch in batches:
+            for node, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                codes, counts, _ = shingler([unpack_text.decompress(raw).decode()])
+                held.append((codes, np.full(len(codes), node, np.int64), counts * shared.value[bucket_of(codes)]))
+                size += len(codes)
+                if size > 2_000_000:
+                    yield out(local(held))
+                    held, size = [], 0
+        if held:
+            yield out(local(held))
+
+    def meet(held: list[tuple]) -> list[tuple]:
+        codes = np.concatenate([np.cumsum(unpack(c, np.uint64), dtype=np.uint64) for c, _, _, _ in held])
+        nodes, weights, told = (np.concatenate([unpack(x[i], k) for x in held]) for i, k in ((1, np.int64), (2, np.float64), (3, np.uint8)))
+        order = np.argsort(codes, kind="stable")
+        codes, nodes, weights, told = codes[order], nodes[order], weights[order], told[order].astype(bool)
+        first = groups(codes)
+        sizes = np.diff(np.append(first, len(codes)))
+        many = np.repeat((sizes > 1) | np.logical_or.reduceat(told, first), sizes) & ~told
+        return sums(nodes[many], weights[many])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            rows = []
+            for part, node, weight, *blobs in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if part != now and held:
+                    rows += meet(held)
+                    held = []
+                now = part
+                if node is None:
+                    held.append(tuple(blobs))
+                else:
+                    rows.append((part, node, weight, None, None, None, None))
+            yield out(rows)
+        if held:
+            yield out(meet(held))
+
+    sent = texts.select("node", "packed").mapInArrow(send, schema)
+    met = sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(add, schema)
+    return met.groupBy("node").agg(F.sum("shared").alias("shared"))
+
+
 def _apart(placed: DataFrame, classes: DataFrame | None) -> DataFrame:
     """``node, band, class_id`` of the buckets whose texts are of more than one class."""
     if classes is None:
@@ -251,12 +347,14 @@ def classes_of(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts equal each other. Repeated rows come out as often as they come in; a
     null doc_id takes part and sorts behind all others.
     """
-    docs = docs.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "text")
+    none = (1 << 63) - 1
+    docs = docs.select(F.coalesce("doc_id", F.lit(none)).alias("doc_id"), "text")
+    real_id = F.when(F.col("doc_id") != none, F.col("doc_id")).alias("doc_id")
     inverse = inverse_frequencies(*document_frequencies(docs))
     signed = settle(signatures(docs, inverse), "signatures")
     least = signed.groupBy("text_hash").agg(F.min("doc_id").alias("node"))
-    members = settle(signed.join(least, "text_hash").select("doc_id", "node", F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands")), "members")
-    banded = members.where("bands is not null").dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
+    members = settle(signed.join(least, "text_hash").select("doc_id", "node", "weight", F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands")), "members")
+    banded = members.where("bands is not null").dropDuplicates(["node"]).select("node", "weight", "bands", F.posexplode("bands").alias("place", "band"))
     # Buckets of one text are dropped before any join with texts.
     full = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     placed = settle(banded.join(full, "band"), "placed")
@@ -265,31 +363,43 @@ def classes_of(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     links, tested, classes = None, None, None
     for round_ in range(3):
         apart = _apart(placed, classes)
-        if round_ == 0:
-            pairs = apart.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
-        else:
-            mark = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("n") < F.lit(PIVOTS * (1 << 30))
-            heads = apart.where(mark) if round_ == 1 else apart.where("class_id <> low")
-            heads = heads.select("band", F.col("node").alias("b"), F.col("class_id").alias("other"))
-            met = apart.join(heads, "band").where("class_id <> other")
-            pairs = met.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
-        pairs = pairs.distinct()
+        mark = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("n") < F.lit(PIVOTS * (1 << 30))
+        apart = apart.withColumn("shared", F.col("weight"))
+        if round_:
+            # What no other text in question holds can't be shared with any of them.
+            left = apart.select("node").distinct()
+            parts = max(64, left.count() // 5_000)
+            sums = shared_weights(attach(texts, left, ["node"], "left_semi"), inverse, parts)
+            apart = settle(apart.drop("shared").join(sums, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0.0))), "bounded")
+        apart = apart.withColumn("leads", (F.col("node") == F.col("low"), mark, F.col("class_id") != F.col("low"))[round_])
+        heads = apart.where("leads").select("band", F.col("node").alias("b"), F.col("class_id").alias("other"), F.col("weight").alias("heavy"), F.col("shared").alias("most"), F.col("bands").alias("theirs"))
+        # Weighted Jaccard is at most what may be shared over what then is in either text; the margin is for rounding.
+        most = F.least("weight", "heavy", "shared", "most")
+        near = most >= (similarity - 1e-9) * (F.col("weight") + F.col("heavy") - most)
+        # Texts that meet in several buckets are compared in the first of them.
+        first = F.array_position(F.zip_with("bands", "theirs", lambda x, y: x == y), True) == F.col("place") + 1
+        met = apart.join(heads, "band").where((F.col("class_id") != F.col("other")) & near & first)
+        # Of two heads the smaller stays one, so no pair comes twice and few texts have to be copied.
+        swap = F.col("leads") & (F.col("b") > F.col("node"))
+        pairs = met.select(F.when(swap, F.col("b")).otherwise(F.col("node")).alias("a"), F.when(swap, F.col("node")).otherwise(F.col("b")).alias("b")).distinct()
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            known = tested.select(F.col("a").alias("x"), F.col("b").alias("y"))
+            pairs = pairs.join(known, (F.greatest("a", "b") == F.col("x")) & (F.least("a", "b") == F.col("y")), "left_anti")
         pairs = settle(pairs, "candidates")
         if pairs.isEmpty():
             continue
         judged = settle(verify(pairs, texts, inverse, similarity), "judged")
         found = judged.where("linked").select("a", "b")
         links = found if links is None else links.unionByName(found)
-        tested = judged.select("a", "b") if tested is None else tested.unionByName(judged.select("a", "b"))
+        done = judged.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        tested = done if tested is None else tested.unionByName(done)
         classes = components(links)
     if classes is None:
-        return members.select("doc_id", F.col("node").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+        return members.select(real_id, F.col("node").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     named = settle(classes.join(degree, "node"), "classes")
     joined = members.select("doc_id", "node").join(named, "node", "left")
-    return joined.select("doc_id", F.coalesce("class_id", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return joined.select(real_id, F.coalesce("class_id", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -31,6 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspan.llm.blobs import by_part, groups, pack, unpack
 from shelfspan.llm.text import column_of, flat, slices
 from shelfspan.session import settle
 
@@ -47,18 +48,6 @@ ROWS = "kind int, part long, a binary, b binary, c binary, d binary"
 HASHES, SHARED, COPIES, SPANS, TEXT, SUFFIXES = range(6)
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Compressed bytes of an array, byte by byte of its numbers."""
-    planes = values.view(np.uint8).reshape(len(values), -1).T if values.ndim == 1 else values
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def unpack(raw: bytes, kind) -> np.ndarray:
-    kind = np.dtype(kind)
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-    return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).ravel()
-
-
 def row(kind: int, part: int, *blobs: bytes) -> tuple:
     return (kind, part, *blobs, *[None] * (4 - len(blobs)))
 
@@ -106,19 +95,6 @@ def anchors(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return of[inside], at[inside], code[at[inside]]
 
 
-def groups(keys: np.ndarray) -> np.ndarray:
-    """Starts of the runs of equal sorted keys."""
-    return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-
-
-def by_part(parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each part and the places of its rows, in order."""
-    order = np.argsort(parts, kind="stable")
-    starts = groups(parts[order])
-    for a, b in zip(starts, [*starts[1:], len(parts)], strict=True):
-        yield int(parts[order[a]]), order[a:b]
-
-
 def part_of_doc(docs: np.ndarray, parts: int) -> np.ndarray:
     mixed = docs.astype(np.int64).view(np.uint64) * np.uint64(BASE)
     return ((mixed >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
