@@ -22,7 +22,7 @@ from shelfspan.session import settle
 WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Rows that a range of keys within one source holds on average.
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 4_000
 
 
 def size_of(text: Column) -> Column:

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from shelfspan.llm import language, licences, mixing, near_dedup, neighbours, pieces, quality, secret_scan, suffixes, toxicity
 from shelfspan.llm.oracles import ORACLES
+from shelfspan.llm.ship import ship
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
