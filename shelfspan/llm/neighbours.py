@@ -224,15 +224,17 @@ def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, beam: int, fol
         fresh = now if last is None else now.join(last, "node").select("node", F.array_except("ids", "done").alias("ids"))
         front = fresh.select("node", F.explode(F.slice("ids", 1, follow)).alias("at"))
         reached = front.join(graph.select(F.col("node").alias("at"), F.col("ids").alias("next")), "at").select("node", F.explode("next").alias("member")).distinct()
-        rows = reached.where("member <> node").join(codes.select(F.col("node").alias("member"), "code"), "member").join(asked, "node")
+        rows = reached.where("member <> node").join(codes.select(F.col("node").alias("member"), "code"), "member")
+        # All that a query has reached comes together, so it is scored into one list.
+        rows = rows.repartition("node").join(asked, "node").select("node", "member", "code", "asked").sortWithinPartitions("node")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    sims = (decode(batch.column(2)) * decode(batch.column(3))).sum(1)
-                    yield as_lists(*best(batch.column(0).to_numpy(), batch.column(1).to_numpy(), sims, beam))
+            for t in whole_groups(batches):
+                t = t.combine_chunks()
+                sims = (decode(t["code"].combine_chunks()) * decode(t["asked"].combine_chunks())).sum(1)
+                yield as_lists(*best(t["node"].to_numpy(), t["member"].to_numpy(), sims, beam))
 
-        found = rows.select("node", "member", "code", "asked").mapInArrow(compare, LISTS)
+        found = rows.mapInArrow(compare, LISTS)
         done = front.groupBy("node").agg(F.collect_list("at").alias("done"))
         if last is not None:
             done = done.unionByName(last).groupBy("node").agg(F.flatten(F.collect_list("done")).alias("done"))
