@@ -40,7 +40,7 @@ FREQUENCY_BITS = 17
 TABLE_BITS = 14
 #: Expected pivots of a bucket in the second round; rows compared in one group.
 PIVOTS, CHUNK = 16, 32
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 150_000
 HASH_BITS = 44
 #: Shingles sampled at once, so that the work stays in the processor's cache.
 AT_ONCE = 40_000

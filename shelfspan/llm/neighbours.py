@@ -223,7 +223,11 @@ def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, beam: int, fol
         # The nearest not yet followed are followed; each step's were followed before.
         fresh = now if last is None else now.join(last, "node").select("node", F.array_except("ids", "done").alias("ids"))
         front = fresh.select("node", F.explode(F.slice("ids", 1, follow)).alias("at"))
-        reached = front.join(graph.select(F.col("node").alias("at"), F.col("ids").alias("next")), "at").select("node", F.explode("next").alias("member")).distinct()
+        reached = front.join(graph.select(F.col("node").alias("at"), F.col("ids").alias("next")), "at").select("node", F.explode("next").alias("member"))
+        if last is None:
+            # What a node has is scored anew: the graph compares with the added component, a query without it.
+            reached = reached.unionByName(starts.select("node", F.explode("ids").alias("member")))
+        reached = reached.distinct()
         rows = reached.where("member <> node").join(codes.select(F.col("node").alias("member"), "code"), "member")
         # All that a query has reached comes together, so it is scored into one list.
         rows = rows.repartition("node").join(asked, "node").select("node", "member", "code", "asked").sortWithinPartitions("node")
@@ -231,15 +235,17 @@ def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, beam: int, fol
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t in whole_groups(batches):
                 t = t.combine_chunks()
-                sims = (decode(t["code"].combine_chunks()) * decode(t["asked"].combine_chunks())).sum(1)
+                asked = decode(t["asked"].combine_chunks())
+                asked[:, -1] = 0
+                sims = (decode(t["code"].combine_chunks()) * asked).sum(1)
                 yield as_lists(*best(t["node"].to_numpy(), t["member"].to_numpy(), sims, beam))
 
         found = rows.mapInArrow(compare, LISTS)
         done = front.groupBy("node").agg(F.collect_list("at").alias("done"))
         if last is not None:
             done = done.unionByName(last).groupBy("node").agg(F.flatten(F.collect_list("done")).alias("done"))
+        now = settle(merge(found if last is None else now.unionByName(found), beam), "beam")
         last = settle(done, "followed")
-        now = settle(merge(now.unionByName(found), beam), "beam")
     return now
 
 

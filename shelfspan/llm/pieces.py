@@ -29,7 +29,7 @@ MARK = "▁"
 #: Words over this many characters go through a heap, shorter ones side by side.
 SIDE_BY_SIDE = 40
 #: Different words a Python worker keeps; the cache starts anew beyond it.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 350_000
 NONE = np.int64(1 << 40)
 
 

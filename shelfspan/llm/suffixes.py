@@ -106,6 +106,8 @@ def doc_blobs(kind: int, parts: int, docs: np.ndarray, *columns: np.ndarray) ->
 
 def hash_rows(docs: np.ndarray, places: np.ndarray, codes: np.ndarray, parts: int, scale: int) -> list[tuple]:
     """Blobs of one task's anchors: by hash what other tasks may share, by document what is shared here already."""
+    if not len(codes):
+        return []
     order = np.lexsort((docs, codes))
     docs, places, codes = docs[order], places[order], codes[order]
     first = groups(codes)
