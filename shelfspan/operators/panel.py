@@ -22,18 +22,19 @@ def melt(wide: DataFrame, ids: Sequence[str] = SALES_IDS, days: Sequence[str] |
 
 
 def densify(
-    sales: DataFrame, low: Column, high: Column, keys: Sequence[str] = SERIES, date: str = "date", amount: str = "demand"
+    sales: DataFrame, low: Column, high: Column, keys: Sequence[str] = SERIES, date: str = "date", amount: str = "demand", whole: bool = False
 ) -> DataFrame:
     """One row per series and day between two dates, zero where nothing sold.
 
     Sales are summed map-side first, then joined to the days of every series;
     both sides hold at most one row per series and day, so no key is hot and a
-    series never outgrows the calendar.
+    series never outgrows the calendar. Sums keep the type of the amounts;
+    ``whole`` cuts the sums, not the amounts, to whole units.
     """
     every_day = F.explode(F.sequence(low, high, F.expr("interval 1 day")))
     spine = sales.select(*keys).distinct().select(*keys, every_day.alias(date))
-    sold = sales.groupBy(*keys, date).agg(F.sum(F.col(amount).cast("long")).alias(amount))
-    known = F.coalesce(F.col(amount), F.lit(0).cast("long"))
+    sold = sales.groupBy(*keys, date).agg((F.sum(amount).cast("long") if whole else F.sum(amount)).alias(amount))
+    known = F.coalesce(F.col(amount), F.lit(0).cast(sold.schema[amount].dataType))
     return spine.join(sold, [*keys, date], "left").withColumn(amount, known)
 
 

@@ -93,7 +93,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 def completeness(df: DataFrame, below: float | None = None) -> DataFrame:
     """Percentage of known values per column; only the low ones if asked."""
     n = F.count(F.lit(1))
-    shares = df.agg(*[((1 - F.count_if(F.col(c).isNull()) / n) * 100).alias(c) for c in df.columns])
+    shares = df.agg(*[((1 - F.try_divide(F.count_if(F.col(c).isNull()), n)) * 100).alias(c) for c in df.columns])
     long = shares.unpivot([], df.columns, "column", "completeness")
     return long if below is None else long.where(F.col("completeness") < below)
 

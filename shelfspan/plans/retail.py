@@ -51,7 +51,7 @@ def panel(spark: SparkSession, folder: str) -> DataFrame:
     lines = sale_lines(spark, folder, lineitem)
     low, high = date_bounds(lineitem)
     sales = lines.select("store_id", "item_id", "state_id", "date", F.col("quantity").alias("demand"))
-    dense = densify(sales, low, high, keys=("store_id", "item_id", "state_id"))
+    dense = densify(sales, low, high, keys=("store_id", "item_id", "state_id"), whole=True)
     brand = F.regexp_extract("item_id", "([0-9]+)", 1).cast("int")
     day_num = F.datediff(F.col("date"), low) + 1
     cat = F.concat(F.lit("CAT_"), (brand % 3).cast("string"))
@@ -177,4 +177,4 @@ def event_panel(spark: SparkSession, folder: str) -> DataFrame:
     )
     low = events.agg(F.to_date(F.min("ts"))).scalar()
     high = events.agg(F.to_date(F.max("ts"))).scalar()
-    return densify(moves, low, high)
+    return densify(moves, low, high, whole=True)

@@ -34,11 +34,11 @@ def required(dataset: str) -> list[str]:
 
 
 WIDE = "wide AS (SELECT id || '_' || strftime(date, '%Y%m') AS id, " + ", ".join(
-    f"MAX(CASE WHEN day(date) = {n} THEN demand END) AS d_{n}" for n in range(1, 11)
+    f"MAX(CASE WHEN day(date) = {n} THEN demand END) AS d_{n}" for n in range(1, 32)
 ) + " FROM panel GROUP BY 1)"
 SALES_ROWS = [
     *required("sales"), row("sales", "day_columns", "d_*", "1", "warning"),
-    *[x for c in DAYS[:10] for x in (row("sales", "numeric_type", c, "0"), row("sales", "non_negative", c, count_if(f"{c} < 0"), source="wide"))],
+    *[x for c in DAYS for x in (row("sales", "numeric_type", c, "0"), row("sales", "non_negative", c, count_if(f"{c} < 0"), source="wide"))],
     row("sales", "unique", "id", "COUNT(*)", source="(SELECT id FROM wide GROUP BY id HAVING COUNT(*) > 1)"),
 ]
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfspan import schemas
 from shelfspan.functions.scalar import date_parts
@@ -30,16 +31,24 @@ def header_days(spark: SparkSession, path: str, prefix: str = "d_") -> list[str]
     return [c for c in header if c.startswith(prefix)]
 
 
+def read_named(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The columns of ``schema`` from a CSV whose header may name them in any order, and others too."""
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    known = {f.name: f for f in wanted}
+    found = [known.get(c, StructField(c, StringType())) for c in spark.read.csv(path, header=True).columns]
+    return spark.read.schema(StructType(found)).csv(path, header=True, enforceSchema=False).select(*known)
+
+
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     """Calendar from CSV with parsed dates, calendar parts and event flags."""
-    raw = spark.read.schema(schemas.CALENDAR).csv(path, header=True)
+    raw = read_named(spark, path, schemas.CALENDAR)
     dated = raw.withColumn("date", F.to_date("date"))
     exists = {f"{c}_exists": F.col(c).isNotNull() for c in schemas.EVENT_COLUMNS}
     return dated.withColumns({**date_parts(), **exists})
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PRICES).csv(path, header=True)
+    return read_named(spark, path, schemas.PRICES)
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:

@@ -134,3 +134,24 @@ def test_feature_store_written_by_state(spark, small_panel, tmp_path):
     out = tables.read_feature_store(spark, path)
     assert out.count() == 360 and {"demand_lag_28", "demand_rolling_std_28", "price_change", "is_holiday"} <= set(out.columns)
     assert out.where(F.col("is_holiday") == 1).select("date").distinct().count() == 3
+
+
+def test_prices_are_read_by_name(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("item_id,store_id,sell_price,wm_yr_wk\nI1,S1,2.5,7\n")
+    row = tables.read_prices(spark, str(tmp_path / "p.csv")).first()
+    assert (row["store_id"], row["item_id"], row["wm_yr_wk"], row["sell_price"]) == ("S1", "I1", 7, 2.5)
+
+
+def test_late_negative_day_is_found(spark):
+    from shelfspan.operators import quality
+
+    wide = spark.createDataFrame([("a", *[0] * 10, -1)], "id string, " + ", ".join(f"d_{n} int" for n in range(1, 12)))
+    rules = [r for r in quality.sales_rules(wide) if r.column == "d_11"]
+    found = {r["rule"]: r["violations"] for r in quality.run_rules(wide, "sales", rules).collect()}
+    assert found["non_negative"] == 1
+
+
+def test_completeness_of_an_empty_table(spark):
+    from shelfspan.operators import profile
+
+    assert [r["completeness"] for r in profile.completeness(spark.createDataFrame([], "a int")).collect()] == [None]

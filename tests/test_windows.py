@@ -135,3 +135,13 @@ def test_one_exchange_for_all_series_windows(spark, small_panel):
     plan = chain._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Python" not in plan and "SinglePartition" not in plan
+
+
+def test_densify_keeps_fractions(spark):
+    import datetime as dt
+
+    day = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([("S", "I", day, 0.6), ("S", "I", day, 0.6)], "store_id string, item_id string, date date, demand double")
+    low = high = F.lit(day)
+    assert panel.densify(df, low, high).first()["demand"] == 1.2
+    assert panel.densify(df, low, high, whole=True).first()["demand"] == 1
