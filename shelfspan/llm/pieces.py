@@ -248,7 +248,7 @@ def encode(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", keep_ids: b
             ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"]
             if keep_ids:
-                columns += [pa.array([np.frombuffer(ids, "<u4").tolist() for ids in coded], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                columns += [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *[len(ids) // 4 for ids in coded]]), pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<i4"))), pa.array(decoded, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
