@@ -104,20 +104,43 @@ def add_velocity(df: DataFrame, pairs=((7, 14), (14, 28), (28, 56)), target="dem
     return df.withColumns(velocity_columns(pairs, target))
 
 
+def _block(kept: float) -> int:
+    """Rows after which a value weighs less than double precision can see."""
+    return math.ceil(40 / -math.log(kept))
+
+
+def _passes(kept: dict[str, float]) -> list[dict[str, float]]:
+    """Decays grouped so that rescaled values stay within a double inside the block of the slowest one."""
+    passes: list[dict[str, float]] = []
+    for name, q in sorted(kept.items(), key=lambda pair: -pair[1]):
+        if passes and -math.log(q) * _block(max(passes[-1].values())) <= 690:
+            passes[-1][name] = q
+        else:
+            passes.append({name: q})
+    return passes
+
+
 def _decayed_sums(df: DataFrame, alphas: dict[str, float], keys, target) -> DataFrame:
-    """Add ``<name>``: sum over all earlier rows of target * (1-alpha)^age.
+    """Add ``<name>``: sum over all earlier rows of target * (1-alpha)^age, and ``_row``.
+
+    Decays that are far apart take one pass each; alpha 1 is the value itself.
+    """
+    df = df.withColumn("_row", F.row_number().over(series_window(keys)) - 1)
+    itself = {name: F.coalesce(F.col(target).cast("double"), F.lit(0.0)) for name, a in alphas.items() if a >= 1}
+    for kept in _passes({name: 1.0 - a for name, a in alphas.items() if a < 1}):
+        df = _one_pass(df, kept, keys, target)
+    return df.withColumns(itself) if itself else df
+
+
+def _one_pass(df: DataFrame, kept: dict[str, float], keys, target) -> DataFrame:
+    """The sums of one group of decays.
 
     The series is cut into blocks long enough that anything older than one
     full block weighs less than double precision can see. Inside a block a
     running sum of rescaled values does the work; the last finished block is
     carried over. Each row costs constant work for any alpha.
     """
-    kept = {name: 1.0 - a for name, a in alphas.items()}
-    block = math.ceil(40 / -math.log(max(kept.values())))
-    if -math.log(min(kept.values())) * block > 690:
-        raise ValueError("decay rates too far apart for one pass: split them over several calls")
-    row = F.row_number().over(series_window(keys)) - 1
-    df = df.withColumn("_row", row)
+    block = _block(max(kept.values()))
     df = df.withColumns({"_block": F.floor(F.col("_row") / block), "_pos": F.col("_row") % block})
     inside = Window.partitionBy(*keys, "_block").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     local = {

@@ -73,23 +73,25 @@ def add_target_encoding(
 ) -> DataFrame:
     """Target statistics for several columns, optionally fitted on other rows.
 
-    One pre-aggregation over all columns' combinations feeds every table.
+    One pre-aggregation over all columns' combinations feeds every table. The
+    deviation merges centred squares, so large targets keep their digits.
     """
     source = df if fit_on is None else fit_on
     value = F.col(target).cast("double")
     parts = settle(
         source.groupBy(*columns).agg(
-            F.count(target).alias("_n"), F.sum(value).alias("_s"), F.sum(value * value).alias("_q")
+            F.count(target).alias("_n"), F.avg(value).alias("_m"), (F.var_pop(value) * F.count(target)).alias("_q")
         ),
         "target",
     )
     for c in columns:
-        n, s, q = F.sum("_n"), F.sum("_s"), F.sum("_q")
-        spread = F.greatest(q - s * s / n, F.lit(0.0))
-        stats = parts.groupBy(c).agg(
-            F.try_divide(s, n).alias(f"{c}_target_mean"),
-            F.coalesce(F.sqrt(F.when(n > 1, F.try_divide(spread, n - 1))), F.lit(0.0)).alias(f"{c}_target_std"),
-            n.alias(f"{c}_target_count"),
-        )
+        mean, n = f"{c}_target_mean", f"{c}_target_count"
+        means = parts.groupBy(c).agg(F.try_divide(F.sum(F.col("_n") * F.col("_m")), F.sum("_n")).alias(mean), F.sum("_n").alias(n))
+        away = F.col("_q") + F.col("_n") * F.pow(F.col("_m") - F.col(mean), 2)
+        spread = F.try_divide(F.sum(away), F.col(n) - 1)
+        centred = attach(parts, means, [c], spread_by=[x for x in columns if x != c])
+        stats = centred.groupBy(c, mean, n).agg(
+            F.coalesce(F.sqrt(F.when(F.col(n) > 1, spread)), F.lit(0.0)).alias(f"{c}_target_std")
+        ).select(c, mean, f"{c}_target_std", n)
         df = attach(df, stats, [c], spread_by=[x for x in spread_by if x != c])
     return df

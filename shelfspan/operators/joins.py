@@ -76,12 +76,26 @@ def unseen_values(df: DataFrame, known: DataFrame, column: str) -> DataFrame:
 
 
 def align_forecasts(frames: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Join per-model predictions on their key instead of by array position."""
-    aligned = None
+    """Per-model predictions matched on their key instead of by array position."""
+    merged = None
     for model, frame in frames.items():
-        part = frame.select(*keys, F.col("y_pred").alias(model))
-        aligned = part if aligned is None else aligned.join(part, list(keys), "inner")
-    return aligned
+        part = frame.select(*keys, F.lit(model).alias("model"), "y_pred")
+        merged = part if merged is None else merged.unionByName(part)
+    return spread_models(merged, list(frames), keys)
+
+
+def spread_models(forecasts: DataFrame, models: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """One column per model from rows ``(keys, model, y_pred)``, for the keys that every model has.
+
+    One aggregate, so the rows are read and exchanged once for any number of
+    models. A key holds at most one row of each model; null keys match nothing.
+    """
+    own = {m: F.col("model") == m for m in models}
+    complete = forecasts.where(F.col("model").isin(*models)).dropna(subset=list(keys)).groupBy(*keys).agg(
+        *[F.max(F.when(own[m], F.col("y_pred"))).alias(m) for m in models],
+        F.least(*[F.count_if(own[m]) for m in models], F.lit(1)).alias("_known"),
+    )
+    return complete.where(F.col("_known") > 0).drop("_known")
 
 
 def outer_chain(tables: Sequence[DataFrame], key: str = "date") -> DataFrame:

@@ -126,8 +126,12 @@ def predict_seasonal(df: DataFrame, fitted: DataFrame, by: str, start: Column, d
 # ---- training, scoring, tuning --------------------------------------------
 
 
-def train(estimators: dict[str, Estimator], df: DataFrame) -> tuple[dict[str, Model], DataFrame]:
-    """Fit every estimator; returns the models and a table of run records."""
+def train(estimators: dict[str, Estimator], df: DataFrame, valid: DataFrame | None = None) -> tuple[dict[str, Model], DataFrame]:
+    """Fit every estimator; returns the models and a table of run records.
+
+    A record holds the time, the parameters, the error on the training and, if
+    given, the validation rows, and the number of features and of trees kept.
+    """
     spark = df.sparkSession
     shared_folder(spark)
     models, records = {}, []
@@ -135,8 +139,14 @@ def train(estimators: dict[str, Estimator], df: DataFrame) -> tuple[dict[str, Mo
         began = time.time()
         models[name] = estimator.fit(df)
         settings = ", ".join(sorted(f"{p.name}={v}" for p, v in estimator.extractParamMap().items()))
-        records.append((name, float(time.time() - began), settings))
-    return models, spark.createDataFrame(records, "model string, training_time double, model_params string")
+        took = float(time.time() - began)
+        label = estimator.getOrDefault("labelCol") if estimator.hasParam("labelCol") else LABEL
+        errors = [rmse_of(models[name], rows, label) if rows is not None else None for rows in (df, valid)]
+        facts = [getattr(models[name], x, None) for x in ("numFeatures", "getNumTrees")]
+        records.append((name, took, settings, *errors, *facts))
+    return models, spark.createDataFrame(
+        records, "model string, training_time double, model_params string, train_rmse double, valid_rmse double, n_features int, trees int"
+    )
 
 
 def score(models: dict[str, Model], df: DataFrame) -> DataFrame:

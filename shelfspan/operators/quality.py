@@ -33,6 +33,7 @@ MAX_NULL_SHARE = 0.5
 MIN_COMPLETENESS = 90
 MAX_MISSING_SHARE = 0.05
 SALES_RANGE = (0, 100_000)
+REPORT = "dataset string, rule string, column string, violations long, severity string"
 RECOMMENDATIONS = {
     "core_data": "Load the core sales, calendar and price tables again",
     "external_data": "Check the weather and economic sources",
@@ -54,8 +55,15 @@ def known(condition: Column) -> Column:
     return F.count_if(condition)
 
 
+def applicable(df: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
+    """Rules on columns the table has; an absent column is reported by the rule that requires it."""
+    return [r for r in rules if r.column in df.columns]
+
+
 def run_rules(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
     """All rules of one table in a single aggregate, one row per rule."""
+    if not rules:
+        return df.sparkSession.createDataFrame([], REPORT)
     row = df.agg(*[r.violations.cast("long").alias(f"v{n}") for n, r in enumerate(rules)])
     cells = F.array(
         *[
@@ -89,7 +97,9 @@ def sales_rules(df: DataFrame, expected_days: int = DAY_COLUMNS) -> list[Rule]:
 
 
 def duplicate_rule(df: DataFrame, dataset: str, column: str = "id") -> DataFrame:
-    """Number of values of a key that occur more than once."""
+    """Number of values of a key that occur more than once; no row if the key is absent."""
+    if column not in df.columns:
+        return run_rules(df, dataset, [])
     return run_rules(duplicate_keys(df, [column]), dataset, [Rule("unique", column, F.count(F.lit(1)))])
 
 
@@ -98,9 +108,11 @@ def calendar_rules(df: DataFrame, period: tuple[str, str] = PERIOD) -> list[Rule
     parsed = F.col("date").cast("string").try_cast("date")
     return [
         *required_columns(df, "calendar"),
-        Rule("date_format", "date", known(F.col("date").isNotNull() & parsed.isNull())),
-        Rule("starts_in_time", "date", F.when(F.min(parsed) > F.to_date(F.lit(period[0])), 1).otherwise(0), "warning"),
-        Rule("ends_in_time", "date", F.when(F.max(parsed) < F.to_date(F.lit(period[1])), 1).otherwise(0), "warning"),
+        *applicable(df, [
+            Rule("date_format", "date", known(F.col("date").isNotNull() & parsed.isNull())),
+            Rule("starts_in_time", "date", F.when(F.min(parsed) > F.to_date(F.lit(period[0])), 1).otherwise(0), "warning"),
+            Rule("ends_in_time", "date", F.when(F.max(parsed) < F.to_date(F.lit(period[1])), 1).otherwise(0), "warning"),
+        ]),
     ]
 
 
@@ -113,9 +125,11 @@ def price_rules(df: DataFrame, maximum: float = MAX_PRICE) -> list[Rule]:
     price = F.col("sell_price")
     return [
         *required_columns(df, "prices"),
-        Rule("positive", "sell_price", known(price <= 0)),
-        Rule("not_extreme", "sell_price", known(price > maximum), "warning"),
-        Rule("not_null", "sell_price", known(price.isNull()), "warning"),
+        *applicable(df, [
+            Rule("positive", "sell_price", known(price <= 0)),
+            Rule("not_extreme", "sell_price", known(price > maximum), "warning"),
+            Rule("not_null", "sell_price", known(price.isNull()), "warning"),
+        ]),
     ]
 
 
@@ -123,8 +137,10 @@ def weather_rules(df: DataFrame) -> list[Rule]:
     """Weather: plausible temperature and humidity."""
     return [
         *required_columns(df, "weather"),
-        Rule("between", "temp", known(~F.col("temp").between(*TEMPERATURE)), "warning"),
-        Rule("between", "humidity", known(~F.col("humidity").between(*HUMIDITY))),
+        *applicable(df, [
+            Rule("between", "temp", known(~F.col("temp").between(*TEMPERATURE)), "warning"),
+            Rule("between", "humidity", known(~F.col("humidity").between(*HUMIDITY))),
+        ]),
     ]
 
 
@@ -145,8 +161,10 @@ def feature_store_rules(df: DataFrame, minimum: float = MIN_COMPLETENESS) -> lis
     n = F.count(F.lit(1))
     rules = [
         *required_columns(df, "feature_store"),
-        Rule("non_negative", "demand", known(F.col("demand") < 0)),
-        Rule("not_null", "demand", known(F.col("demand").isNull()), "warning"),
+        *applicable(df, [
+            Rule("non_negative", "demand", known(F.col("demand") < 0)),
+            Rule("not_null", "demand", known(F.col("demand").isNull()), "warning"),
+        ]),
         Rule("lag_features", "*lag_*", F.lit(int(not lag)), "warning"),
         Rule("rolling_features", "*rolling_*", F.lit(int(not rolling)), "warning"),
     ]
@@ -162,11 +180,11 @@ def threshold_rules(
     """Configured limits: share of missing values, smallest and largest sale."""
     c = F.col(column)
     nulls = known(c.isNull())
-    return [
+    return applicable(df, [
         Rule("max_missing", column, F.when(nulls > F.count(F.lit(1)) * missing, 1).otherwise(0), "warning"),
         Rule("min_value", column, known(c < values[0])),
         Rule("max_value", column, known(c > values[1])),
-    ]
+    ])
 
 
 def expectations(df: DataFrame, dataset: str) -> list[Rule]:
@@ -178,15 +196,13 @@ def expectations(df: DataFrame, dataset: str) -> list[Rule]:
     if dataset == "sales":
         return [
             exists("demand"),
-            Rule("between", "demand", known(F.col("demand") < 0)),
+            *applicable(df, [Rule("between", "demand", known(F.col("demand") < 0))]),
             exists("date"),
-            Rule("not_null", "id", known(F.col("id").isNull())),
+            *applicable(df, [Rule("not_null", "id", known(F.col("id").isNull()))]),
         ]
     if dataset == "weather":
-        rules = [exists("temp"), Rule("between", "temp", known(~F.col("temp").between(*TEMPERATURE)))]
-        if "humidity" in df.columns:
-            rules.append(Rule("between", "humidity", known(~F.col("humidity").between(*HUMIDITY))))
-        return rules
+        between = [Rule("between", c, known(~F.col(c).between(*bounds))) for c, bounds in (("temp", TEMPERATURE), ("humidity", HUMIDITY))]
+        return [exists("temp"), *applicable(df, between)]
     return []
 
 

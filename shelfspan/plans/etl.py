@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfspan.operators import quality
 from shelfspan.operators.joins import join_calendar, join_economic, join_prices, join_weather
@@ -44,9 +45,11 @@ def check_core(
         quality.run_rules(sales, "sales", quality.sales_rules(sales, expected_days)),
         quality.duplicate_rule(sales, "sales"),
         quality.run_rules(calendar, "calendar", quality.calendar_rules(calendar, period)),
-        quality.gap_rule(date_gaps(calendar)),
         quality.run_rules(prices, "prices", quality.price_rules(prices)),
     ]
+    if "date" in calendar.columns:
+        days = calendar.select(F.col("date").cast("string").try_cast("date").alias("date")).dropna()
+        parts.append(quality.gap_rule(date_gaps(days)))
     return _together(parts)
 
 

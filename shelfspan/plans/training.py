@@ -50,26 +50,32 @@ def compare(
 ) -> tuple[dict, DataFrame, DataFrame]:
     """Train, score the test split with every model and their ensemble, evaluate.
 
-    Returns the fitted models, the run records and the metric table.
+    Returns the fitted pipelines, which take rows of the frame, the run records
+    and the metric table.
     """
     shared_folder(frame.sparkSession)
-    data, _ = matrix(frame, columns)
-    models, records = train(estimators, data.where(F.col("split") == "train"))
+    data, stage = matrix(frame, columns)
+    models, records = train(estimators, data.where(F.col("split") == "train"), data.where(F.col("split") == "valid"))
     scored = score(models, data.where(F.col("split") == "test"))
     names = list(models)
     scored = scored.withColumn("ensemble", weighted_mean(names, weights))
     forecasts = forecast_frame(scored, [*names, "ensemble"], KEYS)
-    return models, records, ev.simple_record(settle(forecasts, "forecasts"))
+    pipelines = {name: PipelineModel(stages=[*stage.stages, model]) for name, model in models.items()}
+    return pipelines, records, ev.simple_record(settle(forecasts, "forecasts"))
 
 
 def promote(models: dict[str, PipelineModel], metrics: DataFrame, folder: str, metric: str = "rmse") -> str:
-    """Save the best model below ``folder`` and append its record."""
+    """Save the best pipeline below ``folder`` and append its record.
+
+    Only the given pipelines compete: an ensemble in ``metrics`` has no single
+    one to save, and the record names the candidates.
+    """
     largest = metric == "r2"
     names = list(models)
     best = ev.best_model(metrics.where(F.col("model").isin(names)), metric, largest).first()
     save_model(models[best["model"]], f"{folder}/model")
     append_run(
         metrics.sparkSession, f"{folder}/runs",
-        {"model": best["model"], "metric": metric, "value": best[metric], "features": ",".join(FEATURES)},
+        {"model": best["model"], "metric": metric, "value": best[metric], "candidates": ",".join(names), "features": ",".join(FEATURES)},
     )
     return best["model"]

@@ -220,6 +220,21 @@ def target_encoding(spark, folder):
     return full.select(*KEYS, *[f"{c}_target_{x}" for c in ENCODED for x in ("mean", "std", "count")])
 
 
+@query(
+    "a16_shifted_target",
+    with_panel() + f"""SELECT {cols('store_id', 'item_id', d('date'), *[
+      x for c in ('cat_id', 'store_id') for x in (
+        f(f'AVG(demand) OVER (PARTITION BY {c}) + 100000000', f'{c}_target_mean', 4),
+        f(f'STDDEV_SAMP(demand) OVER (PARTITION BY {c})', f'{c}_target_std', 4))])} FROM panel""",
+    digits=4,
+)
+def shifted_target(spark, folder):
+    """A target far from zero keeps the digits of its deviation."""
+    far = panel(spark, folder).withColumn("demand", F.col("demand") + 100_000_000)
+    full = encode.add_target_encoding(far, ("cat_id", "store_id"))
+    return full.select(*KEYS, *[f"{c}_target_{x}" for c in ("cat_id", "store_id") for x in ("mean", "std")])
+
+
 @query(
     "a16_target_statistics",
     with_panel() + f"""SELECT {cols('item_id', f('AVG(demand)', 'item_id_target_mean'), f('STDDEV_SAMP(demand)', 'item_id_target_std'),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfspan.operators import evaluate as ev
-from shelfspan.operators.joins import align_forecasts
+from shelfspan.operators.joins import spread_models
 from shelfspan.plans import retail
 from shelfspan.queries.base import cols, d, f, i, query, with_forecast
 from shelfspan.session import settle
@@ -320,8 +320,7 @@ aligned AS (SELECT a.store_id, a.item_id, a.cat_id, a.date, a.y_pred AS naive, b
 
 
 def aligned(spark, folder):
-    frame = forecast(spark, folder)
-    return align_forecasts({m: frame.where(F.col("model") == m) for m in ("naive", "ma7")}, FORECAST_KEYS)
+    return spread_models(forecast(spark, folder), ["naive", "ma7"], FORECAST_KEYS)
 
 
 @query("j13_align_forecasts", ALIGNED + f"SELECT {cols('store_id', 'item_id', 'cat_id', d('date'), f('naive'), f('ma7'))} FROM aligned")

@@ -149,8 +149,7 @@ def custom_stage(spark, folder):
 def promotion(spark, folder):
     models, _, metrics = training.compare(frame(spark, folder), two(3))
     path = shared_path(spark, "promoted")
-    wrapped = {name: Pipeline(stages=[model]).fit(metrics) for name, model in models.items()}
-    training.promote(wrapped, metrics, path)
+    training.promote(models, metrics, path)
     return spark.read.json(f"{path}/runs").select("model", "metric", F.col("value").cast("double").alias("value"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from shelfspan.operators import quality
 from shelfspan.operators.panel import date_gaps
 from shelfspan.plans import etl, retail
@@ -29,8 +31,8 @@ def count_if(condition: str) -> str:
     return f"COUNT(*) FILTER (WHERE {condition})"
 
 
-def required(dataset: str) -> list[str]:
-    return [row(dataset, "required_column", c, "0") for c in quality.REQUIRED[dataset]]
+def required(dataset: str, absent: tuple[str, ...] = ()) -> list[str]:
+    return [row(dataset, "required_column", c, str(int(c in absent))) for c in quality.REQUIRED[dataset]]
 
 
 WIDE = "wide AS (SELECT id || '_' || strftime(date, '%Y%m') AS id, " + ", ".join(
@@ -166,6 +168,48 @@ def suite_result(spark, folder):
     return quality.suite_result(suites(spark, folder))
 
 
+BROKEN_SALES_ROWS = [
+    *required("sales", ("state_id",)), row("sales", "day_columns", "d_*", "1", "warning"),
+    *[row("sales", "numeric_type", c, str(int(c == "d_2"))) for c in DAYS],
+    *[row("sales", "non_negative", c, "0" if c == "d_2" else "2 * " + count_if(f"{'-' if c == 'd_31' else ''}{c} < 0"), source="" if c == "d_2" else "wide") for c in DAYS],
+    row("sales", "unique", "id", "COUNT(DISTINCT id)", source="wide"),
+]
+
+
+@query("v01_v05_broken_sales", with_panel(WIDE) + rows_of(*BROKEN_SALES_ROWS))
+def broken_sales(spark, folder):
+    """An absent column, a day column of text, negative sales on the last day, every row twice."""
+    wide = settle(wide_months(spark, folder), "wide")
+    broken = wide.drop("state_id").withColumns({"d_2": F.lit("x"), "d_31": -F.col("d_31")})
+    broken = broken.unionByName(broken)
+    return quality.run_rules(broken, "sales", quality.sales_rules(broken)).unionByName(quality.duplicate_rule(broken, "sales"))
+
+
+BROKEN_ROWS = [
+    *required("prices", ("sell_price",)),
+    *required("weather", ("temp",)),
+    row("weather", "between", "humidity", count_if("-humidity - 1 < 0 OR -humidity - 1 > 100"), source="weather"),
+    row("calendar", "no_gaps", "date", count_if("step <> 1"), "warning", "(SELECT date - LAG(date) OVER (ORDER BY date) AS step FROM calendar WHERE day(date) <> 15)"),
+    row("sales", "exists", "demand", "1"), row("sales", "exists", "date", "0"),
+    row("sales", "not_null", "id", "COUNT(*)", source="panel"),
+]
+
+
+@query("v_broken_tables", with_panel(WEATHER) + rows_of(*BROKEN_ROWS))
+def broken_tables(spark, folder):
+    """Absent price, temperature and demand columns, impossible humidity, a calendar with holes, null ids."""
+    prices = retail.prices(spark, folder).drop("sell_price")
+    weather = retail.weather(spark, folder).drop("temp").withColumn("humidity", -F.col("humidity") - 1)
+    days = retail.calendar(spark, folder).where(F.dayofmonth("date") != 15)
+    frame = retail.panel(spark, folder).drop("demand").withColumn("id", F.lit(None).cast("string"))
+    return etl._together([
+        quality.run_rules(prices, "prices", quality.price_rules(prices)),
+        quality.run_rules(weather, "weather", quality.weather_rules(weather)),
+        quality.gap_rule(date_gaps(days)),
+        quality.run_rules(frame, "sales", quality.expectations(frame, "sales")),
+    ])
+
+
 REPORT = with_priced(WIDE, STORE, WEATHER, ECONOMIC, WIDE_ECONOMIC, f"""
 checked AS ({rows_of(*SALES_ROWS, *CALENDAR_ROWS, *PRICE_ROWS, *WEATHER_ROWS, *ECONOMIC_ROWS, *STORE_ROWS)}),
 families AS (SELECT CASE WHEN dataset IN ('sales', 'calendar', 'prices') THEN 'core_data' WHEN dataset = 'feature_store' THEN 'processed_data'

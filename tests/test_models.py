@@ -49,6 +49,7 @@ def test_scores_are_not_negative_and_weights_normalised(matrix):
     train = matrix.where("split = 'train'")
     models, records = m.train({"xgboost": m.boosted_trees(3, 2), "random_forest": m.random_forest(3, 3)}, train)
     assert records.count() == 2
+    assert all(r.train_rmse > 0 and r.valid_rmse is None and r.n_features == len(training.FEATURES) and r.trees == 3 for r in records.collect())
     scored = m.score(models, matrix).withColumn("ensemble", m.weighted_mean(list(models), m.ENSEMBLE_WEIGHTS))
     bad = scored.where("xgboost < 0 or random_forest < 0 or ensemble > greatest(xgboost, random_forest) + 1e-9 or ensemble < least(xgboost, random_forest) - 1e-9")
     assert bad.count() == 0
@@ -96,6 +97,9 @@ def test_grid_search_reports_every_candidate(matrix):
 
 def test_promotion(spark, small_panel, tmp_path):
     models, _, metrics = training.compare(training.training_frame(small_panel), {"a": m.random_forest(2, 2), "b": m.random_forest(2, 4)})
-    wrapped = {n: Pipeline(stages=[x]).fit(metrics) for n, x in models.items()}
-    best = training.promote(wrapped, metrics, str(tmp_path))
-    assert best in models and spark.read.json(str(tmp_path / "runs")).first().model == best
+    best = training.promote(models, metrics, str(tmp_path))
+    run = spark.read.json(str(tmp_path / "runs")).first()
+    assert best in models and run.model == best and run.candidates == "a,b"
+    raw = training.training_frame(small_panel.where("date >= '2020-03-01'")).drop("split", "demand")
+    scored = m.load_model(str(tmp_path / "model")).transform(raw)
+    assert scored.where("prediction is not null").count() == raw.count() > 0

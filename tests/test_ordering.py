@@ -1,6 +1,7 @@
 """Global order helpers, joins and encodings."""
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -78,6 +79,21 @@ def test_target_encoding_matches_group_statistics(small_panel, small_pandas):
     assert (out.loc[stats.index, "item_id_target_count"] == stats["count"]).all()
 
 
+def test_target_encoding_of_large_values(spark):
+    rows = [("a" if n % 2 else "b", n % 3, 1e8 + n % 10) for n in range(1000)]
+    df = spark.createDataFrame(rows, "k string, g int, date_ double").withColumnRenamed("date_", "y").withColumn("date", F.lit(1))
+    got = {r.k: r.k_target_std for r in encode.add_target_encoding(df, ["k", "g"], "y").select("k", "k_target_std").distinct().collect()}
+    for k in "ab":
+        assert got[k] == pytest.approx(np.std([r[2] for r in rows if r[0] == k], ddof=1), rel=1e-6)
+
+
+def test_models_aligned_on_keys(spark):
+    rows = [("k1", "a", 1.0), ("k1", "b", 2.0), ("k2", "a", 3.0), ("k3", "a", None), ("k3", "b", 4.0), (None, "a", 1.0), (None, "b", 1.0)]
+    df = spark.createDataFrame(rows, "k string, model string, y_pred double")
+    out = joins.align_forecasts({m: df.where(F.col("model") == m) for m in "ab"}, ["k"])
+    assert sorted(map(tuple, out.collect())) == [("k1", 1.0, 2.0), ("k3", None, 4.0)]
+
+
 def test_target_encoding_fitted_on_other_rows(small_panel):
     fitted = small_panel.where(F.col("day_num") <= 10)
     out = encode.add_target_encoding(small_panel, ["item_id"], fit_on=fitted).select("item_id_target_count").distinct().collect()

@@ -46,6 +46,21 @@ def test_prices_weather_economic(spark):
     assert etl.check_external(None, None) is None
 
 
+def test_rules_report_absent_columns(spark):
+    empty = spark.createDataFrame([(1,)], "other int")
+    for dataset, rules in (
+        ("prices", quality.price_rules), ("weather", quality.weather_rules), ("calendar", quality.calendar_rules),
+        ("feature_store", quality.feature_store_rules), ("sales", quality.sales_rules),
+    ):
+        out = found(quality.run_rules(empty, dataset, rules(empty)))
+        assert all(out[(dataset, "required_column", c)] == 1 for c in quality.REQUIRED[dataset])
+    assert found(quality.run_rules(empty, "sales", quality.expectations(empty, "sales"))) == {("sales", "exists", "demand"): 1, ("sales", "exists", "date"): 1}
+    assert found(quality.run_rules(empty, "weather", quality.expectations(empty, "weather"))) == {("weather", "exists", "temp"): 1}
+    assert quality.duplicate_rule(empty, "sales").count() == 0
+    assert quality.run_rules(empty, "sales", quality.threshold_rules(empty)).count() == 0
+    assert etl.check_core(empty, empty, empty).where("rule = 'required_column' and violations = 1").count() == 17
+
+
 def test_report(spark):
     rows = [("sales", "r", "c", 0, "error"), ("weather", "r", "c", 2, "error"), ("feature_store", "r", "c", 0, "error")]
     checked = spark.createDataFrame(rows, "dataset string, rule string, column string, violations long, severity string")

@@ -55,6 +55,18 @@ def test_recursive_ewm(small_panel, small_pandas):
         same(out[f"demand_ewm_{n}"], expected)
 
 
+def test_ewm_of_distant_decays(small_panel, small_pandas):
+    out = demand.add_ewm(small_panel, [0.01, 0.9, 1.0]).toPandas().sort_values(["store_id", "item_id", "date"]).reset_index(drop=True)
+    by = small_pandas.groupby(["store_id", "item_id"])["demand"]
+    for a in (0.01, 0.9, 1.0):
+        want = by.transform(lambda s, a=a: s.ewm(alpha=a).mean())
+        np.testing.assert_allclose(out[f"demand_ewm_{str(a).replace('.', '_')}"], want, atol=1e-9)
+    out = demand.add_recursive_ewm(small_panel, [1, 500]).toPandas().sort_values(["store_id", "item_id", "date"]).reset_index(drop=True)
+    for n in (1, 500):
+        want = by.transform(lambda s, n=n: s.ewm(span=n, adjust=False).mean())
+        np.testing.assert_allclose(out[f"demand_ewm_{n}"], want, atol=1e-9)
+
+
 def test_ewm_over_many_blocks(spark):
     """A series of several blocks, so that sums are carried over block borders."""
     rng = np.random.default_rng(3)
@@ -67,11 +79,6 @@ def test_ewm_over_many_blocks(spark):
     same(out["demand_ewm_56"], frame["demand"].ewm(span=56, adjust=False).mean())
 
 
-def test_decay_rates_too_far_apart(small_panel):
-    with pytest.raises(ValueError):
-        demand.add_ewm(small_panel, [0.001, 0.9])
-
-
 def test_days_since_last_sale(small_panel, small_pandas):
     out = ordered(demand.add_days_since_sale(small_panel))
     expected = []
