@@ -26,9 +26,10 @@ from shelfspan.session import settle
 K = 20
 #: Neighbours of a node in the graph; blocks of the first round: their size, and how many orders of all nodes.
 DEGREE, BLOCK, TREES = 40, 1024, 20
-ROUNDS = 2
-#: Nearest nodes a query keeps, how many of them it follows in a step, steps.
-BEAM, FOLLOW, STEPS = 80, 40, 3
+#: Rounds go on until no more than this share of all neighbours changed in the last one.
+SETTLED = 0.01
+#: Nearest nodes a query keeps, how many of them it follows in a step; steps go on until it has followed all it keeps.
+BEAM, FOLLOW = 80, 40
 SEED = 5
 LISTS = "node long, ids array<long>, sims array<float>"
 
@@ -214,14 +215,18 @@ def descend(graph: DataFrame, codes: DataFrame, degree: int) -> DataFrame:
     return merge(graph.unionByName(rows.mapInArrow(compare, LISTS)), degree)
 
 
-def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, beam: int, follow: int, steps: int) -> DataFrame:
-    """Nearest nodes found for each query node, which starts from its own list."""
+def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, beam: int, follow: int) -> DataFrame:
+    """Nearest nodes found for each query node, which starts from its own list and ends when all it keeps were followed."""
     now = starts
     asked = settle(starts.select("node").join(codes.select("node", F.col("code").alias("asked")), "node"), "asked")
     last: DataFrame | None = None
-    for _ in range(steps):
+    while True:
         # The nearest not yet followed are followed; each step's were followed before.
-        fresh = now if last is None else now.join(last, "node").select("node", F.array_except("ids", "done").alias("ids"))
+        fresh = now if last is None else now.join(last, "node").select("node", F.array_except("ids", "done").alias("ids")).where(F.size("ids") > 0)
+        if last is not None:
+            fresh = settle(fresh, "fresh")
+            if fresh.isEmpty():
+                return now
         front = fresh.select("node", F.explode(F.slice("ids", 1, follow)).alias("at"))
         reached = front.join(graph.select(F.col("node").alias("at"), F.col("ids").alias("next")), "at").select("node", F.explode("next").alias("member"))
         if last is None:
@@ -246,18 +251,24 @@ def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, beam: int, fol
             done = done.unionByName(last).groupBy("node").agg(F.flatten(F.collect_list("done")).alias("done"))
         now = settle(merge(found if last is None else now.unionByName(found), beam), "beam")
         last = settle(done, "followed")
-    return now
 
 
-def build_graph(codes: DataFrame, degree: int = DEGREE, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
-    """``node, ids, sims``: the neighbour graph, written after every round."""
+def build_graph(codes: DataFrame, degree: int = DEGREE, block: int = BLOCK, settled: float = SETTLED) -> DataFrame:
+    """``node, ids, sims``: the neighbour graph, written after every round, until few neighbours change.
+
+    Lists only get nearer, so the rounds end.
+    """
     graph = settle(first_graph(codes, degree, block), "graph")
-    for _ in range(rounds):
-        graph = settle(descend(graph, codes, degree), "graph")
-    return graph
+    while True:
+        before, graph = graph, settle(descend(graph, codes, degree), "graph")
+        both = graph.join(before.select("node", F.col("ids").alias("were")), "node", "left")
+        new = F.size(F.array_except("ids", F.coalesce("were", F.array().cast("array<long>"))))
+        counts = both.agg(F.sum(new).alias("new"), F.sum(F.size("ids")).alias("all")).first()
+        if (counts["new"] or 0) <= settled * (counts["all"] or 0):
+            return graph
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = K, degree: int = DEGREE, block: int = BLOCK, trees: int = TREES, rounds: int = ROUNDS) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = K, degree: int = DEGREE, block: int = BLOCK, trees: int = TREES, settled: float = SETTLED) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found for every row that ``is_query`` names.
 
     Vectors that are null, zero, of another length than most, or hold null or
@@ -271,10 +282,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, degree: int = DEGR
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     nodes = settle(nodes_of(good, k), "nodes")
     codes = settle(coded(nodes, len(first["v"]), trees, block, nodes.count()), "codes")
-    graph = build_graph(codes.select("node", "code", "keys"), degree, block, rounds)
+    graph = build_graph(codes.select("node", "code", "keys"), degree, block, settled)
     queries = settle(good.where(is_query).join(nodes.select("node", "v"), "v").select("vec_id", "node"), "queries")
     starts = queries.select("node").distinct().join(graph, "node")
-    found = search(starts, graph, codes, max(BEAM, k + 1), FOLLOW, STEPS)
+    found = search(starts, graph, codes, max(BEAM, k + 1), FOLLOW)
     asked = found.join(nodes.select("node", F.col("v").alias("q")), "node")
     near = asked.select("node", "q", F.explode(F.concat(F.array("node"), "ids")).alias("near"))
     own = nodes.select(F.col("node").alias("near"), "v", "members")

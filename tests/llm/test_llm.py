@@ -144,6 +144,26 @@ def test_neighbours_match_brute_force(spark):
     assert 300 not in got
 
 
+def recall_of(spark, x, **parameters):
+    """Share of the true 20 nearest of every 20th vector that are found; a query without answers counts as none found."""
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(table, F.col("vec_id") % 20 == 0, **parameters).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    shares = []
+    for q in range(0, len(x), 20):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        shares.append(len(got[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    return float(np.mean(shares))
+
+
+def test_neighbours_run_until_settled(spark):
+    ship(spark)
+    x = np.random.default_rng(4).standard_normal((4000, 24))
+    assert recall_of(spark, x / np.linalg.norm(x, axis=1, keepdims=True), block=64, trees=2) > 0.9
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracles(spark, name):
     got = QUERIES[name](spark, FOLDER).toPandas()
