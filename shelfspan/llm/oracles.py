@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfspan.llm import licences, mixing
+from shelfspan.llm import divergence, fingerprints, licences, mixing
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
@@ -59,4 +59,66 @@ SELECT doc_id, coalesce(n_sentences, 0)::BIGINT AS n_sentences, coalesce(sentenc
 FROM rows LEFT JOIN ids USING (rid) LEFT JOIN named USING (rid)"""
 
 
-ORACLES = {"op2_source_mix": mix_sql(), "op9_licence_scan": licence_sql()}
+def fingerprint_sql() -> str:
+    """Sketches as sorted lists; both lists hold all hashes up to ``known``."""
+    k, n = fingerprints.K, fingerprints.SHINGLE
+
+    def sketch(text: str, name: str) -> str:
+        words = f"coalesce(regexp_extract_all({text}, {WORDS}), [])"
+        hashes = f"list_transform(range(1, greatest(len(w) - {n}, 0) + 2), lambda i: substr(md5(array_to_string(w[i:i + {n - 1}], ' ')), 1, 16))"
+        return f"(SELECT CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct({hashes}))[1:{k}] END FROM (SELECT {words} AS w)) AS {name}"
+
+    def alike(a: str, b: str) -> str:
+        full = [f"CASE WHEN len({x}) >= {k} THEN {x}[-1] ELSE 'g' END" for x in (a, b)]
+        known = f"least({full[0]}, {full[1]})"
+        both = f"len(list_filter(list_intersect({a}, {b}), lambda x: x <= {known}))"
+        either = f"len(list_filter(list_distinct(list_concat({a}, {b})), lambda x: x <= {known}))"
+        return f"CASE WHEN {either} = 0 THEN 1.0::DOUBLE ELSE {both}::DOUBLE / {either} END"
+
+    last = f"(('0x' || substr(sketch[-1], 1, 13))::BIGINT::DOUBLE / {1 << 52}::DOUBLE)"
+    full = [f"CASE WHEN len({x}) >= {k} THEN {x}[-1] ELSE 'g' END" for x in ("sketch", "edited_sketch")]
+    own = f"len(list_filter(sketch, lambda x: x <= least({full[0]}, {full[1]})))"
+    shared = f"len(list_filter(list_intersect(sketch, edited_sketch), lambda x: x <= least({full[0]}, {full[1]})))"
+    return f"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS r, doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+s AS (SELECT *, {sketch("text", "sketch")} FROM d),
+p AS (SELECT s.*, x.text AS next_text, x.sketch AS next_sketch FROM s JOIN s x ON x.r = s.r % (SELECT count(*) FROM d) + 1),
+e AS (SELECT *, substr(text, 1, n - n // 4) || substr(next_text, 1, n // 4) AS edited FROM p),
+f AS (SELECT *, {sketch("edited", "edited_sketch")} FROM e)
+SELECT doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, array_to_string(sketch, '') AS fingerprint, array_to_string(edited_sketch, '') AS edited_fingerprint,
+  {alike("sketch", "edited_sketch")} AS near_edited, {alike("sketch", "next_sketch")} AS near_next,
+  CASE WHEN len(sketch) < {k} THEN len(sketch)::DOUBLE ELSE {k - 1}::DOUBLE / {last} END AS n_shingles,
+  CASE WHEN {own} = 0 THEN 1.0::DOUBLE ELSE {shared}::DOUBLE / {own} END AS contained_in_edited
+FROM f"""
+
+
+def divergence_sql() -> str:
+    """Counts of terms by regular expression; exact arithmetic in HUGEINT."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    share = f"(1 + {divergence.SCALE}::HUGEINT * (coalesce(n, 0) + {divergence.PRIOR}) // (total + {divergence.PRIOR}::HUGEINT * v))::BIGINT"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+t AS (SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), '{upper}', '{upper.lower()}') AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(term) AS v FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+g AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total, v FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) JOIN v USING (lang) GROUP BY lang, source, v),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, {share} AS p FROM g JOIN kept USING (lang) LEFT JOIN c ON (c.lang, c.source, c.term) = (g.lang, g.source, kept.term)),
+lc AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+lp AS (SELECT lang, term, {share} AS q FROM lc JOIN (SELECT lang, sum(total)::HUGEINT AS total, any_value(v) AS v FROM g GROUP BY lang) USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(pa.p - pb.p)), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p pa ON pa.lang = a.lang AND pa.source = a.source LEFT JOIN p pb ON pb.lang = a.lang AND pb.source = b.source AND pb.term = pa.term GROUP BY ALL),
+terms AS (SELECT lang, source, term AS item, p - q AS value FROM p JOIN lp USING (lang, term) WHERE p.n > 0 AND p > q),
+both_parts AS (SELECT *, 'pair' AS part FROM pairs UNION ALL BY NAME SELECT *, 'term' AS part FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+
+ORACLES = {
+    "op2_source_mix": mix_sql(),
+    "op9_licence_scan": licence_sql(),
+    "op11_fingerprints": fingerprint_sql(),
+    "op12_source_divergence": divergence_sql(),
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspan.llm import language, licences, mixing, near_dedup, neighbours, pieces, quality, secret_scan, suffixes, toxicity
+from shelfspan.llm import conversations, divergence, fingerprints, language, licences, mixing, near_dedup, neighbours, pieces, quality, secret_scan, suffixes, toxicity
 from shelfspan.llm.oracles import ORACLES
 from shelfspan.llm.ship import ship
 
@@ -61,7 +61,23 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.classes_of(read(spark, folder, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.digests(read(spark, folder, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "conversations")
+    return conversations.repair(conversations.damage(rows), rows.select("conv_id"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_source_mix, op3_secret_scan, op4_quality_rules, op5_sentencepiece, op6_suffix_dedup, op7_language_id, op8_neighbours, op9_licence_scan, op10_near_dedup)
+    for f in (
+        op1_toxicity, op2_source_mix, op3_secret_scan, op4_quality_rules, op5_sentencepiece, op6_suffix_dedup, op7_language_id,
+        op8_neighbours, op9_licence_scan, op10_near_dedup, op11_fingerprints, op12_source_divergence, op13_conversation_repair,
+    )
 }
