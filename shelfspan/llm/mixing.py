@@ -62,13 +62,16 @@ def mix(docs: DataFrame, quality: DataFrame, weights: Sequence[int] = WEIGHTS, m
     ``quality`` holds ``doc_id, weight`` (1 where a document has none). Documents
     without words have size 0 and are never taken; sources of such documents have
     target 0. A null source is a source of its own, the last. Equal keys go by
-    doc_id; repeated rows share a key and are taken one after the other.
+    doc_id, size and the MD5 of the text (``tie``), which also gives the key of
+    a document without id; rows equal in all share a key and are taken one after
+    the other.
     """
-    sized = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("tie"))
     heavy = quality.groupBy("doc_id").agg(F.max("weight").alias("weight"))
     joined = sized.join(heavy, "doc_id", "left")
-    key = -F.ln(uniform("doc_id", "_seed")) / F.coalesce("weight", F.lit(1.0))
-    rows = settle(joined.withColumn("_seed", F.lit(seed)).select("doc_id", "source", "size", key.alias("key")), "sizes")
+    joined = joined.withColumns({"_seed": F.lit(seed), "_name": F.coalesce(F.col("doc_id").cast("string"), "tie")})
+    key = -F.ln(uniform("_name", "_seed")) / F.coalesce("weight", F.lit(1.0))
+    rows = settle(joined.select("doc_id", "source", "size", "tie", key.alias("key")), "sizes")
     # Before the sum over a source, sums over many ranges of its keys.
     count = rows.count()
     ranges = max(8, -(-count // ROWS_PER_RANGE))
@@ -85,7 +88,7 @@ def mix(docs: DataFrame, quality: DataFrame, weights: Sequence[int] = WEIGHTS, m
     offsets = per_range.drop("source").withColumn("range_before", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)))
     offsets = offsets.join(sizes, part).drop("range_size")
     placed = rows.join(offsets, [*part, "_range"])
-    inside = Window.partitionBy(*part, "_range").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*part, "_range").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     before = F.col("range_before") + F.sum("size").over(inside) - F.col("size")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     placed = placed.withColumns({"_before": before, "_epochs": epochs})
@@ -93,7 +96,7 @@ def mix(docs: DataFrame, quality: DataFrame, weights: Sequence[int] = WEIGHTS, m
     taken_too = (F.col("size") > 0) & (2 * F.col("_before") + F.col("size") <= 2 * rest)
     copies = F.when(F.col("size") > 0, F.col("_epochs") + taken_too.cast("long")).otherwise(0).cast("long")
     return placed.withColumn("copies", copies).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "tie"
     )
 
 
@@ -105,14 +108,23 @@ def quality_weights(labels: DataFrame) -> DataFrame:
 def draw(docs: DataFrame, quality: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
     """``docs`` with every row as often as the mix takes it; rows it takes none of go.
 
-    Rows that repeat a doc_id share what the mix takes of that document: each
-    comes as often as the mix takes it on average, rounded by its turn.
+    Rows equal in doc_id, source and text share what the mix takes of them:
+    each comes as often as the mix takes it on average, rounded by its turn.
+    Columns of any name may come along.
     """
-    taken = mix(docs, quality, weights, most, seed).groupBy("doc_id").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0")
-    taken = taken.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    turn = Window.partitionBy("doc_id").orderBy("source", "text")
-    shared = joined.withColumn("_turn", F.when(F.col("_rows") > 1, F.row_number().over(turn)).otherwise(1))
-    each = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_turn") <= F.pmod("_copies", "_rows")).cast("long")
-    times = shared.withColumn("_n", each).where("_n > 0")
-    return times.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy")).drop("_copy")
+    counts = mix(docs, quality, weights, most, seed).groupBy("doc_id", "source", "tie").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    counts = settle(counts.where("copies > 0"), "copies")
+    tie = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.col("source").alias("from"), tie.alias("hash"))
+
+    def join(some: DataFrame) -> DataFrame:
+        same = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("from").eqNullSafe(F.col("source")) & (F.col("hash") == F.col("tie"))
+        return packed.join(some, same)
+
+    times = join(counts.where("rows = 1")).select("row", F.col("copies").alias("n"))
+    several = counts.where("rows > 1")
+    if not several.isEmpty():
+        turn = F.row_number().over(Window.partitionBy("id", "from", "hash").orderBy(F.to_json("row")))
+        each = F.floor(F.col("copies") / F.col("rows")) + (turn <= F.pmod("copies", "rows")).cast("long")
+        times = times.unionByName(join(several).select("row", each.alias("n")).where("n > 0"))
+    return times.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("row.*")

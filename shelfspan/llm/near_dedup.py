@@ -7,14 +7,17 @@ consistent weighted sampling draws SAMPLES shingles of each text, equal for two
 texts with a chance of their weighted Jaccard similarity. Texts that agree in
 all samples of a band are candidates; candidates are verified on whole texts.
 
-Equal texts are one node. In a bucket every text is first compared with one
-pivot, then texts of other classes with a few more pivots, and what is still
-apart is compared pair by pair, so no link between candidates is lost and no
-bucket is expanded while its texts are known to be connected.
+Equal texts are one node, numbered apart from their ids, which may be null or
+repeated. In a bucket every text is first compared with one pivot, then texts
+of other classes with a few more. Of what is still apart only those candidates
+are compared that share one of their rarest shared shingles: two texts at the
+wanted similarity always do, so no link between candidates is lost, and no
+bucket is expanded pair by pair.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from shelfspan.llm.blobs import by_part, groups, pack, unpack
 from shelfspan.llm.graph import components
@@ -161,7 +165,8 @@ def samples(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, numbe
 def signatures(docs: DataFrame, inverse: np.ndarray) -> DataFrame:
     """``doc_id, text_hash, weight, bands`` of every row; bands is empty for texts without words.
 
-    ``weight`` is the sum of the weights of the text's shingles.
+    ``weight`` is the sum of the weights of the text's shingles, ``text_hash``
+    the MD5 of the text, null being empty.
     """
     shared = docs.sparkSession.sparkContext.broadcast(inverse)
 
@@ -183,7 +188,7 @@ def signatures(docs: DataFrame, inverse: np.ndarray) -> DataFrame:
             sizes = np.zeros(len(texts) + 1, np.int32)
             sizes[some + 1] = BANDS
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(bands.ravel().astype(np.int64)))
-            hashes = pa.array([xxhash.xxh3_128_digest(t.encode()) for t in texts], pa.binary())
+            hashes = pa.array([hashlib.md5(t.encode()).digest() for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), hashes, pa.array(total), lists], ["doc_id", "text_hash", "weight", "bands"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text_hash binary, weight double, bands array<long>")
@@ -328,6 +333,55 @@ def shared_weights(texts: DataFrame, inverse: np.ndarray, parts: int) -> DataFra
     return met.groupBy("node").agg(F.sum("shared").alias("shared"))
 
 
+def text_hash(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def shingle_rows(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
+    """``node, code, w``: every shingle of every text with its weight."""
+    shared = texts.sparkSession.sparkContext.broadcast(inverse)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, unpack_text = Shingler(), zstandard.ZstdDecompressor()
+        for batch in batches:
+            raw = batch.column(1)
+            for at in range(0, batch.num_rows, 64):
+                part = [unpack_text.decompress(x).decode() for x in raw.slice(at, 64).to_pylist()]
+                codes, counts, starts = shingler(part)
+                node = np.repeat(batch.column(0).slice(at, 64).to_numpy(), np.diff(starts))
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(codes.astype(np.int64)), pa.array(counts * shared.value[bucket_of(codes)])], ["node", "code", "w"])
+
+    return texts.select("node", "packed").mapInArrow(run, "node long, code long, w double")
+
+
+def rare_pairs(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity: float) -> DataFrame:
+    """``a, b``: texts of one bucket and different classes that may be similar, each pair once.
+
+    Shingles that only one of the texts holds can't be shared. The others are
+    sorted by the number of texts that hold them. Similar texts share at least
+    ``similarity`` of either's weight; so their first common shingle has at
+    least that much behind it in both, and it is enough to let texts meet by
+    the shingles in front of that point.
+    """
+    own = settle(apart.select("node", "weight", "class_id", "bands").dropDuplicates(["node"]), "own")
+    rows = settle(shingle_rows(attach(texts, own.select("node"), ["node"], "left_semi", settled=True), inverse), "shingles")
+    holders = rows.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = rows.join(holders, "code").join(own.select("node", "weight"), "node")
+    behind = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("code")).rowsBetween(Window.unboundedPreceding, 0)
+    front = held.withColumn("behind", F.sum("w").over(behind)).where(F.col("behind") >= (similarity - 1e-9) * F.col("weight"))
+    lists = front.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "code"))).alias("front"))
+    lists = settle(lists.select("node", F.col("front.code").alias("front")).join(own, "node"), "fronts")
+    each = lists.select(F.explode("front").alias("code"), "*")
+    other = each.select("code", *[F.col(c).alias(f"o_{c}") for c in lists.columns])
+    heavy, light = F.greatest("weight", "o_weight"), F.least("weight", "o_weight")
+    same_bucket = F.exists(F.zip_with("bands", "o_bands", lambda x, y: x == y), lambda x: x)
+    first = F.get(F.array_intersect("front", "o_front"), F.lit(0)) == F.col("code")
+    met = each.join(other, "code").where(
+        (F.col("node") > F.col("o_node")) & (F.col("class_id") != F.col("o_class_id")) & (light >= (similarity - 1e-9) * heavy) & same_bucket & first
+    )
+    return met.select(F.col("node").alias("a"), F.col("o_node").alias("b"))
+
+
 def _apart(placed: DataFrame, classes: DataFrame | None) -> DataFrame:
     """``node, band, class_id`` of the buckets whose texts are of more than one class."""
     if classes is None:
@@ -338,50 +392,67 @@ def _apart(placed: DataFrame, classes: DataFrame | None) -> DataFrame:
     return settle(named.join(split.select("band", "low", "n"), "band"), "apart")
 
 
-def classes_of(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, class_id, n_links`` of every row; a class is named by its smallest doc_id.
-
-    Texts are linked if they are equal or their weighted Jaccard similarity is
-    ``similarity`` or more; classes are the connected texts. ``n_links`` counts
-    the verified links of the row's text to different texts. Null and empty
-    texts equal each other. Repeated rows come out as often as they come in; a
-    null doc_id takes part and sorts behind all others.
-    """
-    none = (1 << 63) - 1
-    docs = docs.select(F.coalesce("doc_id", F.lit(none)).alias("doc_id"), "text")
-    real_id = F.when(F.col("doc_id") != none, F.col("doc_id")).alias("doc_id")
+def _head_pairs(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity: float, round_: int) -> DataFrame:
+    """``a, b``: texts of a bucket and its pivots, one in the first round and about PIVOTS in the second."""
+    mark = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("n") < F.lit(PIVOTS * (1 << 30))
+    apart = apart.withColumn("shared", F.col("weight"))
+    if round_:
+        # What no other text in question holds can't be shared with any of them.
+        left = apart.select("node").distinct()
+        parts = max(64, left.count() // 5_000)
+        sums = shared_weights(attach(texts, left, ["node"], "left_semi"), inverse, parts)
+        apart = settle(apart.drop("shared").join(sums, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0.0))), "bounded")
+    apart = apart.withColumn("leads", mark if round_ else F.col("node") == F.col("low"))
+    heads = apart.where("leads").select("band", F.col("node").alias("b"), F.col("class_id").alias("other"), F.col("weight").alias("heavy"), F.col("shared").alias("most"), F.col("bands").alias("theirs"))
+    # Weighted Jaccard is at most what may be shared over what then is in either text; the margin is for rounding.
+    most = F.least("weight", "heavy", "shared", "most")
+    near = most >= (similarity - 1e-9) * (F.col("weight") + F.col("heavy") - most)
+    # Texts that meet in several buckets are compared in the first of them.
+    first = F.array_position(F.zip_with("bands", "theirs", lambda x, y: x == y), True) == F.col("place") + 1
+    met = apart.join(heads, "band").where((F.col("class_id") != F.col("other")) & near & first)
+    # Of two heads the smaller stays one, so no pair comes twice and few texts have to be copied.
+    swap = F.col("leads") & (F.col("b") > F.col("node"))
+    return met.select(F.when(swap, F.col("b")).otherwise(F.col("node")).alias("a"), F.when(swap, F.col("node")).otherwise(F.col("b")).alias("b")).distinct()
+
+
+def _named(nodes: DataFrame, classes: DataFrame | None, links: DataFrame | None) -> DataFrame:
+    """``text_hash, least_id, class_node, class_id, n_links`` of every different text."""
+    if classes is None:
+        known = nodes.withColumns({"class_node": F.col("node"), "n_links": F.lit(0).cast("long")})
+    else:
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+        found = settle(classes.join(degree, "node").withColumnRenamed("class_id", "class_node"), "classes")
+        known = nodes.join(found, "node", "left").withColumns({"class_node": F.coalesce("class_node", "node"), "n_links": F.coalesce("n_links", F.lit(0)).cast("long")})
+    known = settle(known.select("text_hash", "least_id", "class_node", "n_links"), "known")
+    names = settle(known.groupBy("class_node").agg(F.min("least_id").alias("name")), "names")
+    shared = names.where("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    lowest = F.least(F.coalesce(nodes.agg(F.min("least_id")).scalar(), F.lit(0)), F.lit(0))
+    own = F.col("name").isNotNull() & F.col("_n").isNull()
+    names = attach(names, shared, ["name"]).select("class_node", F.when(own, F.col("name")).otherwise(F.coalesce(F.try_subtract(lowest, F.col("class_node") + 1), -1 - F.col("class_node"))).alias("class_id"))
+    return settle(known.join(names, "class_node"), "named")
+
+
+def _judge(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, text_hash`` of every row, and what ``_named`` tells of every different text."""
+    docs = docs.select("doc_id", "text")
     inverse = inverse_frequencies(*document_frequencies(docs))
     signed = settle(signatures(docs, inverse), "signatures")
-    least = signed.groupBy("text_hash").agg(F.min("doc_id").alias("node"))
-    members = settle(signed.join(least, "text_hash").select("doc_id", "node", "weight", F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands")), "members")
-    banded = members.where("bands is not null").dropDuplicates(["node"]).select("node", "weight", "bands", F.posexplode("bands").alias("place", "band"))
+    facts = [F.min("doc_id").alias("least_id"), F.first("weight").alias("weight"), *[F.first(F.get("bands", F.lit(i))).alias(f"b{i}") for i in range(BANDS)]]
+    nodes = settle(signed.groupBy("text_hash").agg(*facts).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    bands = F.array(*[f"b{i}" for i in range(BANDS)])
+    banded = nodes.where("b0 is not null").select("node", "weight", bands.alias("bands")).select("*", F.posexplode("bands").alias("place", "band"))
     # Buckets of one text are dropped before any join with texts.
     full = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     placed = settle(banded.join(full, "band"), "placed")
-    needed = placed.select("node").distinct()
-    texts = settle(packed(attach(docs.withColumnRenamed("doc_id", "node"), needed, ["node"], "inner").dropDuplicates(["node"])), "texts")
+    # A row of each text in question; more than one only where rows repeat id and text.
+    one_id = F.coalesce("least_id", F.lit(0)).alias("_id")
+    needed = nodes.join(placed.select("node").distinct(), "node").select(one_id, "text_hash", "node")
+    rows = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), text_hash(F.col("text")).alias("text_hash"), "text")
+    texts = settle(packed(attach(rows, needed, ["_id", "text_hash"], "inner").select("node", "text")).dropDuplicates(["node"]), "texts")
     links, tested, classes = None, None, None
     for round_ in range(3):
         apart = _apart(placed, classes)
-        mark = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("n") < F.lit(PIVOTS * (1 << 30))
-        apart = apart.withColumn("shared", F.col("weight"))
-        if round_:
-            # What no other text in question holds can't be shared with any of them.
-            left = apart.select("node").distinct()
-            parts = max(64, left.count() // 5_000)
-            sums = shared_weights(attach(texts, left, ["node"], "left_semi"), inverse, parts)
-            apart = settle(apart.drop("shared").join(sums, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0.0))), "bounded")
-        apart = apart.withColumn("leads", (F.col("node") == F.col("low"), mark, F.col("class_id") != F.col("low"))[round_])
-        heads = apart.where("leads").select("band", F.col("node").alias("b"), F.col("class_id").alias("other"), F.col("weight").alias("heavy"), F.col("shared").alias("most"), F.col("bands").alias("theirs"))
-        # Weighted Jaccard is at most what may be shared over what then is in either text; the margin is for rounding.
-        most = F.least("weight", "heavy", "shared", "most")
-        near = most >= (similarity - 1e-9) * (F.col("weight") + F.col("heavy") - most)
-        # Texts that meet in several buckets are compared in the first of them.
-        first = F.array_position(F.zip_with("bands", "theirs", lambda x, y: x == y), True) == F.col("place") + 1
-        met = apart.join(heads, "band").where((F.col("class_id") != F.col("other")) & near & first)
-        # Of two heads the smaller stays one, so no pair comes twice and few texts have to be copied.
-        swap = F.col("leads") & (F.col("b") > F.col("node"))
-        pairs = met.select(F.when(swap, F.col("b")).otherwise(F.col("node")).alias("a"), F.when(swap, F.col("node")).otherwise(F.col("b")).alias("b")).distinct()
+        pairs = _head_pairs(apart, texts, inverse, similarity, round_) if round_ < 2 else rare_pairs(apart, texts, inverse, similarity)
         if tested is not None:
             known = tested.select(F.col("a").alias("x"), F.col("b").alias("y"))
             pairs = pairs.join(known, (F.greatest("a", "b") == F.col("x")) & (F.least("a", "b") == F.col("y")), "left_anti")
@@ -394,16 +465,39 @@ def classes_of(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         done = judged.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         tested = done if tested is None else tested.unionByName(done)
         classes = components(links)
-    if classes is None:
-        return members.select(real_id, F.col("node").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    named = settle(classes.join(degree, "node"), "classes")
-    joined = members.select("doc_id", "node").join(named, "node", "left")
-    return joined.select(real_id, F.coalesce("class_id", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return signed.select("doc_id", "text_hash"), _named(nodes, classes, links)
+
+
+def classes_of(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, class_id, n_links`` of every row; a class is named by its smallest doc_id.
+
+    Texts are linked if they are equal or their weighted Jaccard similarity is
+    ``similarity`` or more; classes are the connected texts. ``n_links`` counts
+    the verified links of the row's text to different texts. Null and empty
+    texts equal each other. Repeated rows come out as often as they come in. A
+    null doc_id takes part; where a class has no other, or its smallest doc_id
+    names another class too because rows repeat it with different texts, it is
+    named by a number of its own, negative and, if there is room, below every doc_id.
+    """
+    rows, named = _judge(docs, similarity)
+    return rows.join(named, "text_hash").select("doc_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each class; of rows that repeat a doc_id one stays."""
-    heads = classes_of(docs, similarity).where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns)
+    """One row of each class of ``docs``: that of the smallest doc_id, null being the greatest, and of the smallest MD5.
+
+    Of rows that repeat both doc_id and text the first by all columns stays.
+    """
+    rows, named = _judge(docs, similarity)
+    head = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "text_hash"))
+    heads = settle(named.groupBy("class_node").agg(head.alias("head")).select(F.col("head.least_id").alias("_head_id"), F.col("head.text_hash").alias("_head_hash")), "heads")
+    kept = docs.join(heads, docs["doc_id"].eqNullSafe(heads["_head_id"]) & (text_hash(docs["text"]) == heads["_head_hash"]), "left_semi")
+    again = rows.join(heads, rows["doc_id"].eqNullSafe(heads["_head_id"]) & (rows["text_hash"] == heads["_head_hash"]), "left_semi")
+    again = settle(again.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    if again.isEmpty():
+        return kept
+    repeated = kept["doc_id"].eqNullSafe(again["doc_id"]) & (text_hash(kept["text"]) == again["text_hash"])
+    sortable = [c for c in docs.columns if not isinstance(docs.schema[c].dataType, (MapType, VariantType))]
+    order = Window.partitionBy(F.col("doc_id"), text_hash(F.col("text"))).orderBy(*sortable)
+    several = kept.join(again, repeated, "left_semi").select(F.struct("*").alias("_row"), F.row_number().over(order).alias("_turn"))
+    return kept.join(again, repeated, "left_anti").unionByName(several.where("_turn = 1").select("_row.*"))

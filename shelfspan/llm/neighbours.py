@@ -5,11 +5,13 @@ Every node gets first neighbours from blocks of vectors that lie near each
 other along random hyperplanes. Then, round by round, every node compares its
 neighbours and the nodes that name it with each other, and each of those keeps
 what is nearer than it had. Queries start from the neighbours of their node and
-follow the graph greedily. Vectors travel as 8-bit codes; the last scores are
-inner products of the original vectors in double precision.
+from the vectors of the greatest norms, and follow the graph greedily.
 
-Vectors of different norms get one more component that makes the norms equal,
-so a greater inner product is a smaller distance.
+Nearness is the inner product everywhere. A vector travels as the 8-bit code of
+its direction and its norm as a float, so one very long vector takes nothing
+from the others; the own norm of a node or query orders nothing and is left
+out. The last scores are inner products of the original vectors in double
+precision.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ DEGREE, BLOCK, TREES = 40, 1024, 20
 SETTLED = 0.01
 #: Nearest nodes a query keeps, how many of them it follows in a step; steps go on until it has followed all it keeps.
 BEAM, FOLLOW = 80, 40
+#: Nodes of the greatest norms that every query starts from too.
+SEEDS = 32
 SEED = 5
 LISTS = "node long, ids array<long>, sims array<float>"
 
@@ -60,32 +64,44 @@ def matrix(column: pa.Array, kind=np.float64) -> np.ndarray:
 
 
 def coded(nodes: DataFrame, dims: int, trees: int, leaf: int, count: int) -> DataFrame:
-    """``node, code, keys``: 8-bit codes with equalised norms, and the place of the node in each order."""
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    top = nodes.agg(F.max(norm).alias("norm")).first()["norm"]
+    """``node, code, keys, norm``: 8-bit direction and norm, and the place of the direction in each order."""
+    # Norms are of vectors divided by the greatest component, so no square overflows.
+    top = nodes.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
     depth = max(0, int(np.ceil(np.log2(max(count, 1) / leaf))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random = np.random.Generator(np.random.PCG64(SEED))
-        planes = random.standard_normal((trees, depth + 1, dims + 1))
+        planes = random.standard_normal((trees, depth + 1, dims))
         for batch in batches:
-            x = matrix(batch.column(1)) / top
-            x = np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1, keepdims=True)))])
-            code = np.clip(np.rint(x * 127), -127, 127).astype(np.int8)
-            side = np.einsum("nd,tkd->ntk", x, planes)
+            x = matrix(batch.column(1))
+            own = np.abs(x).max(1, keepdims=True)
+            unit = x / own
+            length = np.sqrt((unit * unit).sum(1, keepdims=True))
+            unit /= length
+            norm = (own / top * length).ravel()
+            step = np.abs(unit).max(1, keepdims=True) / 127
+            code = np.rint(unit / step).astype(np.int8)
+            sizes = np.stack([step.ravel(), np.maximum(norm, np.finfo(np.float32).tiny)], 1).astype(np.float32)
+            side = np.einsum("nd,tkd->ntk", unit, planes)
             bits = (side[:, :, :depth] > 0) @ (1 << np.arange(depth)[::-1]) if depth else np.zeros(side.shape[:2])
             # Inside a leaf, order by one more direction.
             keys = bits + 1 / (1 + np.exp(-side[:, :, depth]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([c.tobytes() for c in code], pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * trees, pa.int32()), pa.array(keys.ravel().astype(np.float64)))],
-                ["node", "code", "keys"],
+                [
+                    batch.column(0), pa.array([s.tobytes() + c.tobytes() for s, c in zip(sizes, code, strict=True)], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * trees, pa.int32()), pa.array(keys.ravel().astype(np.float64))), pa.array(norm),
+                ],
+                ["node", "code", "keys", "norm"],
             )
 
-    return nodes.select("node", "v").mapInArrow(run, "node long, code binary, keys array<double>")
+    return nodes.select("node", "v").mapInArrow(run, "node long, code binary, keys array<double>, norm double")
 
 
-def decode(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), -1).astype(np.float32) / 127
+def decode(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and norms."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), -1)
+    sizes = np.ascontiguousarray(raw[:, :8]).view(np.float32)
+    return raw[:, 8:].astype(np.float32) * sizes[:, :1], sizes[:, 1]
 
 
 def best(of: np.ndarray, ids: np.ndarray, sims: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,48 +163,51 @@ def first_graph(codes: DataFrame, degree: int, block: int) -> DataFrame:
     """Neighbours within blocks of every order; blocks are cut from sorted ranges, so none is larger than ``block``."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(nodes: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-            s = x @ x.T
+        def out(nodes: np.ndarray, x: np.ndarray, norm: np.ndarray) -> pa.RecordBatch:
+            s = (x @ x.T) * norm
             np.fill_diagonal(s, -np.inf)
             n = min(degree, len(nodes) - 1)
             near = np.argpartition(-s, n - 1, 1)[:, :n] if n else np.zeros((len(nodes), 0), int)
             of = np.repeat(nodes, n)
             return as_lists(*best(of, nodes[near].ravel(), np.take_along_axis(s, near, 1).ravel(), degree))
 
-        held: list[tuple[int, np.ndarray, np.ndarray]] = []
+        def cut() -> pa.RecordBatch:
+            block_ = out(*[np.concatenate([h[i] for h in held]) for i in (1, 2, 3)])
+            held.clear()
+            return block_
+
+        held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
-            tree, node, x = batch.column(0).to_numpy(), batch.column(1).to_numpy(), decode(batch.column(2))
+            tree, node, (x, norm) = batch.column(0).to_numpy(), batch.column(1).to_numpy(), decode(batch.column(2))
             cuts = [0, *(np.flatnonzero(np.diff(tree)) + 1).tolist(), len(tree)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 while a < b:
                     if held and held[0][0] != tree[a]:
-                        yield out(np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held]))
-                        held = []
+                        yield cut()
                     room = block - sum(len(h[1]) for h in held)
                     stop = min(b, a + room)
-                    held.append((int(tree[a]), node[a:stop], x[a:stop]))
+                    held.append((int(tree[a]), node[a:stop], x[a:stop], norm[a:stop]))
                     a = stop
                     if sum(len(h[1]) for h in held) >= block:
-                        yield out(np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held]))
-                        held = []
+                        yield cut()
         if held:
-            yield out(np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held]))
+            yield cut()
 
     placed = codes.select("node", "code", F.posexplode("keys").alias("tree", "key")).select("tree", "node", "code", "key")
     ordered = placed.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node").drop("key")
     return merge(ordered.mapInArrow(compare, LISTS), degree)
 
 
-def descend(graph: DataFrame, codes: DataFrame, degree: int) -> DataFrame:
+def descend(graph: DataFrame, codes: DataFrame, degree: int, turn: int = 0) -> DataFrame:
     """One round: neighbours of the same node are compared; what is nearer than a node's worst is sent to it.
 
-    A node that very many name is met through ``degree`` of them, chosen by a
-    hash; the limit is applied before the shuffle.
+    A node that very many name is met through ``degree`` of them, others in each
+    round, chosen by a hash; the limit is applied before the shuffle.
     """
-    worst = F.when(F.size("ids") >= degree, F.element_at("sims", -1)).otherwise(F.lit(-2.0)).cast("float")
+    worst = F.when(F.size("ids") >= degree, F.element_at("sims", -1)).otherwise(F.lit(float("-inf"))).cast("float")
     pairs = graph.select("node", F.explode("ids").alias("near"))
     turned = pairs.select(F.col("near").alias("owner"), F.col("node").alias("member"))
-    order = Window.partitionBy("owner").orderBy(F.xxhash64("owner", "member"), "member")
+    order = Window.partitionBy("owner").orderBy(F.xxhash64("owner", "member", F.lit(turn)), "member")
     turned = turned.withColumn("place", F.row_number().over(order)).where(F.col("place") <= degree).drop("place")
     known = pairs.select(F.col("node").alias("owner"), F.col("near").alias("member")).unionByName(turned).unionByName(graph.select(F.col("node").alias("owner"), F.col("node").alias("member"))).distinct()
     carried = codes.select("node", "code").join(graph.select("node", worst.alias("worst")), "node").withColumnRenamed("node", "member")
@@ -197,11 +216,11 @@ def descend(graph: DataFrame, codes: DataFrame, degree: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches):
             t = t.combine_chunks()
-            owner, member, worst, x = t["owner"].to_numpy(), t["member"].to_numpy(), t["worst"].to_numpy(), decode(t["code"].combine_chunks())
+            owner, member, worst, (x, norm) = t["owner"].to_numpy(), t["member"].to_numpy(), t["worst"].to_numpy(), decode(t["code"].combine_chunks())
             of, ids, sims = [], [], []
             cuts = [*np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]).tolist(), len(owner)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                s = x[a:b] @ x[a:b].T
+                s = (x[a:b] @ x[a:b].T) * norm[a:b]
                 i, j = np.nonzero(s > worst[a:b, None])
                 real = i != j
                 i, j = i[real], j[real]
@@ -230,7 +249,7 @@ def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, beam: int, fol
         front = fresh.select("node", F.explode(F.slice("ids", 1, follow)).alias("at"))
         reached = front.join(graph.select(F.col("node").alias("at"), F.col("ids").alias("next")), "at").select("node", F.explode("next").alias("member"))
         if last is None:
-            # What a node has is scored anew: the graph compares with the added component, a query without it.
+            # What a query starts from is scored too.
             reached = reached.unionByName(starts.select("node", F.explode("ids").alias("member")))
         reached = reached.distinct()
         rows = reached.where("member <> node").join(codes.select(F.col("node").alias("member"), "code"), "member")
@@ -240,9 +259,9 @@ def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, beam: int, fol
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t in whole_groups(batches):
                 t = t.combine_chunks()
-                asked = decode(t["asked"].combine_chunks())
-                asked[:, -1] = 0
-                sims = (decode(t["code"].combine_chunks()) * asked).sum(1)
+                asked, _ = decode(t["asked"].combine_chunks())
+                code, norm = decode(t["code"].combine_chunks())
+                sims = (code * asked).sum(1) * norm
                 yield as_lists(*best(t["node"].to_numpy(), t["member"].to_numpy(), sims, beam))
 
         found = rows.mapInArrow(compare, LISTS)
@@ -259,8 +278,10 @@ def build_graph(codes: DataFrame, degree: int = DEGREE, block: int = BLOCK, sett
     Lists only get nearer, so the rounds end.
     """
     graph = settle(first_graph(codes, degree, block), "graph")
+    turn = 0
     while True:
-        before, graph = graph, settle(descend(graph, codes, degree), "graph")
+        turn += 1
+        before, graph = graph, settle(descend(graph, codes, degree, turn), "graph")
         both = graph.join(before.select("node", F.col("ids").alias("were")), "node", "left")
         new = F.size(F.array_except("ids", F.coalesce("were", F.array().cast("array<long>"))))
         counts = both.agg(F.sum(new).alias("new"), F.sum(F.size("ids")).alias("all")).first()
@@ -284,10 +305,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, degree: int = DEGR
     codes = settle(coded(nodes, len(first["v"]), trees, block, nodes.count()), "codes")
     graph = build_graph(codes.select("node", "code", "keys"), degree, block, settled)
     queries = settle(good.where(is_query).join(nodes.select("node", "v"), "v").select("vec_id", "node"), "queries")
-    starts = queries.select("node").distinct().join(graph, "node")
+    seeds = [r["node"] for r in codes.orderBy(F.desc("norm"), "node").limit(SEEDS).select("node").collect()]
+    named = F.array_distinct(F.concat(F.coalesce("ids", F.array().cast("array<long>")), F.array(*[F.lit(x) for x in seeds])))
+    asking = queries.select("node").distinct()
+    starts = asking.join(graph, "node", "left").select("node", F.array_remove(named, F.col("node")).alias("ids"))
     found = search(starts, graph, codes, max(BEAM, k + 1), FOLLOW)
-    asked = found.join(nodes.select("node", F.col("v").alias("q")), "node")
-    near = asked.select("node", "q", F.explode(F.concat(F.array("node"), "ids")).alias("near"))
+    # A node that has no other still has its own members.
+    asked = asking.join(found, "node", "left").join(nodes.select("node", F.col("v").alias("q")), "node")
+    near = asked.select("node", "q", F.explode(F.concat(F.array("node"), F.coalesce("ids", F.array().cast("array<long>")))).alias("near"))
     own = nodes.select(F.col("node").alias("near"), "v", "members")
     dot = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     # A node's answers: at most beam + 1 nodes with k + 1 members each.

@@ -13,7 +13,7 @@ def mix_sql() -> str:
     return f"""
 WITH w AS (SELECT doc_id, max(CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END) AS weight FROM labels GROUP BY doc_id),
 d AS (SELECT documents.doc_id, source, coalesce(len(regexp_extract_all(text, {WORDS})), 0)::BIGINT AS size,
-        -ln((('0x' || substr(md5(coalesce(documents.doc_id::VARCHAR, '') || '|0'), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / coalesce(weight, 1.0)::DOUBLE AS key
+        -ln((('0x' || substr(md5(coalesce(documents.doc_id::VARCHAR, md5(coalesce(text, ''))) || '|0'), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / coalesce(weight, 1.0)::DOUBLE AS key
       FROM documents LEFT JOIN w ON documents.doc_id = w.doc_id),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place FROM d GROUP BY source),
 c AS (SELECT *, CASE place % {len(mixing.WEIGHTS)} {weights} END AS weight FROM s),
@@ -34,15 +34,19 @@ def licence_sql() -> str:
     """Sentences by regular expressions, identifiers by a list of values, rules by positions in order."""
     values = ", ".join(f"('{s}', '{k}')" for k, s in licences.SENTENCES.items())
     rules = ", ".join(f"('{r}', '{lic}', {i}, {[*wanted]!r})" for i, (r, (lic, wanted)) in enumerate(licences.RULES.items()))
+    covers = ", ".join(f"('{short}', '{longer}')" for short, held in licences.covering().items() for longer in held)
     cut = r"string_split(regexp_replace({0}, '\.+ ', chr(10), 'g'), chr(10))"
+    drop = f"regexp_replace({{0}}, '{licences.DROP}', ' ', 'g')"
     norm = r"regexp_replace(regexp_replace(s, '^[ .\-]+|[ .\-]+$', '', 'g'), '[ .\-]* [ .\-]*', ' ', 'g')"
+    stops = rf"regexp_replace(regexp_replace(regexp_replace(lower(text), '{licences.BARE}', chr(10) || chr(10), 'g'), '{licences.MARKS}', '\1', 'g'), '{licences.STOPS}', '. \1', 'g')"
+    unwrapped = "regexp_replace(" + drop.format(f"regexp_replace(p, '{licences.BLANK}', '. ', 'g')") + ", ' ?' || chr(10) || ' ?', ' ', 'g')"
     # A rule of n sentences matches if, place by place, each next sentence is found behind the one before.
     return f"""
-WITH RECURSIVE known(sentence, sid) AS (VALUES {values}), rules(rule_id, licence, rank, wanted) AS (VALUES {rules}),
+WITH RECURSIVE known(sentence, sid) AS (VALUES {values}), rules(rule_id, licence, rank, wanted) AS (VALUES {rules}), covers(shorter, longer) AS (VALUES {covers}),
 rows AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
-plain AS (SELECT rid, regexp_replace(lower(text), '[^a-z0-9.\\-\\n]+', ' ', 'g') AS p FROM rows WHERE regexp_matches(text, '{licences.ANCHOR}')),
-cuts AS (SELECT rid, 0 AS kind, {cut.format('p')} AS parts FROM plain
-  UNION ALL SELECT rid, 1, {cut.format(r"regexp_replace(p, ' ?' || chr(10) || ' ?', ' ', 'g')")} FROM plain),
+plain AS (SELECT rid, {stops} AS p FROM rows WHERE regexp_matches(text, '{licences.ANCHOR}')),
+cuts AS (SELECT rid, 0 AS kind, {cut.format(drop.format('p'))} AS parts FROM plain
+  UNION ALL SELECT rid, 1, {cut.format(unwrapped)} FROM plain),
 each AS (SELECT rid, kind, generate_subscripts(parts, 1) AS place, unnest(parts) AS s FROM cuts),
 hits AS (SELECT rid, kind, place, sid FROM (SELECT rid, kind, place, {norm} AS sentence FROM each) JOIN known USING (sentence)),
 ids AS (SELECT rid, string_agg(sid, ',' ORDER BY kind, place) AS sentence_ids, count(*) AS n_sentences
@@ -53,7 +57,8 @@ walk(rid, kind, rule_id, step, place) AS (
   SELECT h.rid, h.kind, w.rule_id, w.step + 1, h.place
   FROM walk w JOIN rules r ON w.rule_id = r.rule_id
   JOIN hits h ON h.rid = w.rid AND h.kind = w.kind AND h.place > w.place AND h.sid = wanted[w.step + 1]),
-matched AS (SELECT DISTINCT rid, rules.rule_id, licence, rank FROM walk JOIN rules ON walk.rule_id = rules.rule_id AND step = len(wanted)),
+every AS (SELECT DISTINCT rid, rules.rule_id, licence, rank FROM walk JOIN rules ON walk.rule_id = rules.rule_id AND step = len(wanted)),
+matched AS (SELECT * FROM every e WHERE NOT EXISTS (SELECT 1 FROM covers JOIN every o ON o.rule_id = longer WHERE shorter = e.rule_id AND o.rid = e.rid)),
 named AS (SELECT rid, string_agg(rule_id, ',' ORDER BY rank) AS rule_ids, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM matched GROUP BY rid)
 SELECT doc_id, coalesce(n_sentences, 0)::BIGINT AS n_sentences, coalesce(sentence_ids, '') AS sentence_ids, coalesce(rule_ids, '') AS rule_ids, coalesce(licences, '') AS licences
 FROM rows LEFT JOIN ids USING (rid) LEFT JOIN named USING (rid)"""

@@ -1,9 +1,12 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Candidates are unbroken strings with letters and digits. The forest sees their
+Candidates are unbroken strings of 16 characters or more with letters and
+digits, and any value of six behind a word that names a secret. An equals sign
+ends a name and is part of a candidate as padding only. The forest sees their
 length, character classes and transitions, the share that dictionary words
 cover, signs of paths, hosts and identifiers, and the words around them. It is
-fitted on labelled findings, rows of ``before, candidate, after, label``.
+fitted on labelled findings, rows of ``before, candidate, after, label``, which
+the same search finds in whole labelled lines.
 DataFrame functions and JVM model stages only.
 """
 
@@ -17,8 +20,12 @@ from pyspark.sql import functions as F
 
 from shelfspan.session import settle
 
-LETTERS = r"A-Za-z0-9_\-+/=.~"
-CANDIDATE = rf"(?<![{LETTERS}])(?=[A-Za-z_\-+/=.~]*[0-9])(?=[0-9_\-+/=.~]*[A-Za-z])[{LETTERS}]{{16,}}"
+LETTERS = r"A-Za-z0-9_\-+/.~"
+LONG = rf"(?<![{LETTERS}])(?=[A-Za-z_\-+/.~]*[0-9])(?=[0-9_\-+/.~]*[A-Za-z])[{LETTERS}]{{16,}}={{0,2}}"
+NAME = r"""(?i:password|passwd|pwd|passphrase|secret|token|api[_\-]?key|access[_\-]?key)["']?[ \t]{0,2}[:=][ \t]{0,2}["']?"""
+#: The shorter look back comes first and rules out nearly every place.
+NAMED = rf"""(?<=[:= \t"'])(?<=[:=][ \t]{{0,2}}["']?)(?<={NAME})(?![\s"'])"""
+CANDIDATE = rf"{NAMED}[^\s\"'`,;&<>()\[\]{{}}]{{6,}}|{LONG}"
 BEFORE, AFTER = 48, 24
 THRESHOLD = 0.5
 TREES, DEPTH, SEED = 40, 8, 11
@@ -93,10 +100,12 @@ def feature_columns() -> dict[str, Column]:
     }
 
 
-def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
-    """Labelled findings made from public key formats and from common false alarms.
+def labelled_findings(spark: SparkSession, rows_wanted: int = 6_000, first: int = 0) -> DataFrame:
+    """Labelled findings in lines made from public key formats and from common false alarms.
 
-    Every row is a function of its number, so reruns agree.
+    The lines are searched as texts are, so the forest learns what it will see.
+    Every row is a function of its number, counted from ``first``, so reruns
+    agree and other numbers give other values.
     """
     n = F.col("id")
     hashed = lambda salt, bits=256: F.sha2(F.concat(F.lit(salt), n.cast("string")), bits)
@@ -107,23 +116,33 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
     num = lambda m: F.pmod(n, F.lit(m)).cast("string")
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     filler = F.element_at(F.array(*[F.lit(w) for w in ("and then of ", "| ", "the end.\n", "unter der ", "", "que la ", "IN THE!! ", "of### ")]), (F.pmod(F.xxhash64(n), F.lit(8)) + 1).cast("int"))
+    word = lambda *words: F.element_at(F.array(*[F.lit(w) for w in words]), (F.pmod(F.xxhash64(n, F.lit("w")), F.lit(len(words))) + 1).cast("int"))
+    letters = F.substring(F.regexp_replace(mixed, "[0-9]", ""), 1, 12)
+    people = text(word("hunter", "dragon", "sommer", "monkey", "letmein", "qwerty"), num(97), word("!", "secret", "pass", "x", "xyz"))
     true = [
         ('token = "', hex40, '" of'), ('TOKEN = "', F.upper(hex40), '"!!'), ("api_key: ", hex32, "\n"), ('"client_secret": "', base, '",'),
         ("password=", F.substring(mixed, 1, 20), "\n"), ("aws_access_key_id = ", text("AKIA", F.upper(F.substring(hex40, 1, 16))), "\n"),
-        ("export AWS_SECRET_ACCESS_KEY=", F.substring(mixed, 1, 40), "\n"), ("GITHUB_TOKEN: ", text("ghp_", F.substring(mixed, 1, 36)), " "),
+        ("export AWS_SECRET_ACCESS_KEY=", F.substring(mixed, 1, 40), "\n"), ("GITHUB_TOKEN=", text("ghp_", F.substring(mixed, 1, 36)), " "),
         ("Authorization: Bearer ", F.substring(mixed, 1, 48), "\n"), ("secret = '", hex64, "'"), ('auth_token="', hex64, '" '), ("the key is ", text("sk_live_", F.substring(mixed, 1, 24)), "."),
+        ("GET https://api.example.com/v1/items?token=", hex40, " HTTP"), ("password=", people, "\n"), ('password = "', people, '"'), ("passwd: ", F.substring(mixed, 1, 9), "\n"),
+        ('secret = "', letters, '"'), ("DB_PASSWORD=", F.substring(mixed, 1, 10), "\n"), ("token=", text(base, "="), " "),
     ]
     false = [
-        ("commit ", hex40, "\n"), ("sha256: ", hex64, "\n"), ("md5sum ", hex32, "  file"), ("uuid=", uuid, "&"), ("request ", uuid, " was"),
+        ("commit ", hex40, "\n"), ("sha256: ", hex64, "\n"), ("md5sum ", hex32, "  file"), ("uuid=", uuid, "&"), ("request ", uuid, " was"), ("checksum=", hex64, "\n"), ("etag: ", hex32, "\n"),
         ('token = "', text("your_token_goes_here_", num(10)), '"'), ("password=", text("example_password_", num(1000)), "\n"), ("api_key: ", text("xxxxxxxxxxxxxxxx", num(10)), "\n"),
         ("write to user@", text("mail", num(10), ".example.com"), " or"), ('href="/', text("static/images/photo_", num(900), ".png"), '"'),
         ("see ", text("document_version_2.", num(10), ".1-release"), " for"), ("in ", text("chapter-", num(30), "-section-", num(7)), ","), ("word ", text("internationalization", num(100)), " and"),
         ("open ", text("https/www.example.org/page/", num(5000), ".html"), " now"), ("build ", text("build_2024_01_17_release", num(10)), " ok"), ("from ", text("mail", num(10), ".example.com"), " to"),
+        ("password: ", word("required", "optional", "string", "invalid", "incorrect", "changeme", "undefined", "password", "expired"), "\n"), ("token = ", word("settings.token", "process.env.TOKEN", "request.headers", "self.token", "getenv", "config.token"), "\n"),
+        ("secret: ", word("example", "not set", "secret", "hidden", "redacted", "********", "unknown"), " and"), ("api_key=", word("YOUR_API_KEY", "your-key-here", "xxxxxxxx", "$API_KEY"), "\n"),
     ]
     rules = [(b, c, a, 1.0) for b, c, a in true] + [(b, c, a, 0.0) for b, c, a in false]
-    made = F.array(*[F.struct(text(filler, b).alias("before"), text(c).alias("candidate"), F.lit(a).alias("after"), F.lit(y).alias("label")) for b, c, a, y in rules])
-    each = spark.range(max(1, rows // len(rules))).select(F.explode(made).alias("x"))
-    return each.select("x.*")
+    made = F.array(*[F.struct(text(filler, b, c, a).alias("line"), text(c).alias("value"), F.lit(y).alias("label")) for b, c, a, y in rules])
+    lines = spark.range(first, first + max(1, rows_wanted // len(rules))).select(F.explode(made).alias("x")).select("x.*")
+    found = lines.select("value", "label", F.explode(texts_around(F.col("line"))).alias("found")).select("value", "label", "found.*")
+    # Of a line only the value itself is a secret, whole or with what it hangs on to.
+    label = F.when(F.contains("candidate", "value"), F.col("label")).otherwise(0.0)
+    return found.select("before", "candidate", "after", label.alias("label"))
 
 
 class Scanner:
@@ -164,14 +183,15 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
 
 
 def summary(docs: DataFrame, scanner: Scanner) -> DataFrame:
-    """``doc_id, n_candidates, n_secrets, fingerprints`` of every row; fingerprints are SHA-256, sorted, without repeats."""
+    """``doc_id, n_candidates, n_secrets, fingerprints`` of every row; fingerprints are SHA-256, sorted, without repeats. Null ids count like others."""
     found = scan(docs, scanner).groupBy("doc_id", "text_key").agg(
         F.count(F.lit(1)).alias("n_candidates"),
         F.sum(F.col("is_secret").cast("long")).alias("n_secrets"),
         F.array_sort(F.collect_set(F.when(F.col("is_secret"), F.sha2("candidate", 256)))).alias("fingerprints"),
     )
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"))
-    joined = keyed.join(found, ["doc_id", "text_key"], "left")
+    found = found.withColumnsRenamed({"doc_id": "found_id", "text_key": "found_key"})
+    joined = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key")), "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return joined.select("doc_id", zero("n_candidates"), zero("n_secrets"), F.coalesce("fingerprints", F.array().cast("array<string>")).alias("fingerprints"))
 
@@ -186,15 +206,15 @@ def redact(docs: DataFrame, scanner: Scanner, mask: str = MASK) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("place", "is_secret"))).alias("_flags"), F.max("is_secret").alias("_any")
     ).where("_any").drop("_any")
     has = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    key = "_text_key"
-    some = docs.where(has).withColumn(key, F.xxhash64("text"))
-    flags = flags.withColumnsRenamed({"doc_id": "_doc_id", "text_key": "_key"})
-    joined = some.join(flags, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col(key) == F.col("_key")), "left")
-    parts = F.split("text", CANDIDATE)
-    found = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
+    # Rows travel as one column, so columns of any name may come along.
+    some = docs.where(has).select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), F.col("text").alias("whole"))
+    joined = some.join(flags, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left")
+    parts = F.split("whole", CANDIDATE)
+    found = F.regexp_extract_all("whole", F.lit(CANDIDATE), F.lit(0))
     shown = F.transform(found, lambda c, i: F.concat(F.when(F.get(F.col("_flags"), i)["is_secret"], F.lit(mask)).otherwise(c), F.get(parts, i + 1)))
-    clean = F.when(F.col("_flags").isNull(), F.col("text")).otherwise(F.concat(F.get(parts, F.lit(0)), F.array_join(shown, "")))
-    fresh = joined.withColumn("text", clean)
+    clean = F.when(F.col("_flags").isNull(), F.col("whole")).otherwise(F.concat(F.get(parts, F.lit(0)), F.array_join(shown, "")))
+    fresh = joined.withColumn("row", F.col("row").withField("text", clean))
     if "n_chars" in docs.columns:
-        fresh = fresh.withColumn("n_chars", F.when(F.col("_flags").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return docs.where(~has).unionByName(fresh.select(*docs.columns))
+        length = F.when(F.col("_flags").isNull(), F.col("row.n_chars")).otherwise(F.length("row.text")).cast(docs.schema["n_chars"].dataType)
+        fresh = fresh.withColumn("row", F.col("row").withField("n_chars", length))
+    return docs.where(~has).unionByName(fresh.select("row.*"))
