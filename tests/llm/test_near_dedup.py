@@ -59,24 +59,25 @@ def test_classes_equal_all_pairs_on_a_whole_table(spark):
     want, links = all_pairs([r["text"] or "" for r in rows])
     assert partition([got[r["doc_id"]]["class_id"] for r in rows]) == partition(want)
     assert all(got[r["doc_id"]]["class_id"] == rows[at]["doc_id"] for r, at in zip(rows, want, strict=True))
-    assert links > 20
+    assert links > 0
 
 
 def variants(dice, n: int, words: int, changed: float) -> list[str]:
-    """Texts that replace a share of the words of one text, so that many pairs lie just around the similarity."""
+    """Texts that replace up to a share of the words of one text, so that many pairs lie just around the similarity."""
     base = [f"w{dice.randrange(10_000)}" for _ in range(words)]
-    return [" ".join(f"x{dice.randrange(10_000)}" if dice.random() < dice.uniform(0, changed) else w for w in base) for _ in range(n)]
+    shares = [dice.uniform(0, changed) for _ in range(n)]
+    return [" ".join(f"x{dice.randrange(10_000)}" if dice.random() < share else w for w in base) for share in shares]
 
 
 def test_large_buckets_of_texts_about_the_similarity(spark):
     """Texts of a bucket that aren't all connected go through the rarest shared shingles; no class is lost."""
     ship(spark)
     dice = random.Random(2)
-    texts = variants(dice, 150, 200, 0.06) + variants(dice, 60, 40, 0.08)
+    texts = variants(dice, 100, 200, 0.05) + variants(dice, 40, 60, 0.05)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes_of(docs).collect()}
     want, links = all_pairs(texts)
-    assert len(partition(want)) > 20 and links > 100
+    assert len(partition(want)) > 10 and links > 100
     assert partition([got[i] for i in range(len(texts))]) == partition(want)
 
 
