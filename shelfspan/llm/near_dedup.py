@@ -369,16 +369,15 @@ def rare_pairs(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similari
     held = rows.join(holders, "code").join(own.select("node", "weight"), "node")
     behind = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("code")).rowsBetween(Window.unboundedPreceding, 0)
     front = held.withColumn("behind", F.sum("w").over(behind)).where(F.col("behind") >= (similarity - 1e-9) * F.col("weight"))
-    lists = front.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "code"))).alias("front"))
-    lists = settle(lists.select("node", F.col("front.code").alias("front")).join(own, "node"), "fronts")
-    each = lists.select(F.explode("front").alias("code"), "*")
-    other = each.select("code", *[F.col(c).alias(f"o_{c}") for c in lists.columns])
-    heavy, light = F.greatest("weight", "o_weight"), F.least("weight", "o_weight")
+    lists = front.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "code", "behind"))).alias("front"))
+    lists = settle(lists.select("node", F.col("front.code").alias("front"), F.col("front.behind").alias("behind")).join(own, "node"), "fronts")
+    each = lists.select(F.explode(F.arrays_zip(F.col("front").alias("code"), F.col("behind").alias("rest"))).alias("_at"), "*").select("_at.code", "_at.rest", *[c for c in lists.columns if c != "behind"])
+    other = each.select("code", *[F.col(c).alias(f"o_{c}") for c in each.columns if c != "code"])
     same_bucket = F.exists(F.zip_with("bands", "o_bands", lambda x, y: x == y), lambda x: x)
     first = F.get(F.array_intersect("front", "o_front"), F.lit(0)) == F.col("code")
-    met = each.join(other, "code").where(
-        (F.col("node") > F.col("o_node")) & (F.col("class_id") != F.col("o_class_id")) & (light >= (similarity - 1e-9) * heavy) & same_bucket & first
-    )
+    # All that two texts share lies at or behind their first common shingle, and it must be this much.
+    enough = F.least("rest", "o_rest") >= (similarity / (1 + similarity) - 1e-9) * (F.col("weight") + F.col("o_weight"))
+    met = each.join(other, "code").where((F.col("node") > F.col("o_node")) & (F.col("class_id") != F.col("o_class_id")) & enough & same_bucket & first)
     return met.select(F.col("node").alias("a"), F.col("o_node").alias("b"))
 
 
