@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspan.operators.joins import attach
@@ -95,3 +95,64 @@ def add_target_encoding(
         ).select(c, mean, f"{c}_target_std", n)
         df = attach(df, stats, [c], spread_by=[x for x in spread_by if x != c])
     return df
+
+
+def past_statistics(df: DataFrame, columns: Sequence[str], target: str = "demand", date: str = "date") -> DataFrame:
+    """``column, value, date, past_mean, past_std, past_count`` of every category and day, from strictly earlier days.
+
+    One pass over the rows sums all columns by (column, value, day), map-side
+    first; a category then has one row a day, so the running sums behind it
+    never see more rows than the calendar has days, however large a category
+    is. Sums are of distances to the overall mean, rounded, which keeps the
+    digits of the deviation and leaves sums of whole targets exact. A category
+    without earlier rows has a null mean, deviation 0 and count 0; null
+    categories are one.
+    """
+    y = F.col(target).cast("double")
+    centre = F.coalesce(df.agg(F.round(F.avg(y))).scalar(), F.lit(0.0))
+    sides = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
+    rows = df.select(F.col(date).alias("date"), (y - centre).alias("_y"), sides.alias("_side")).select("date", "_y", "_side.*")
+    daily = rows.groupBy("column", "value", "date").agg(F.count("_y").alias("_n"), F.sum("_y").alias("_s"), F.sum(F.col("_y") * F.col("_y")).alias("_q"))
+    before = Window.partitionBy("column", "value").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    n, s, q = (F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("_n", "_s", "_q"))
+    summed = daily.select("column", "value", "date", n.alias("n"), s.alias("s"), q.alias("q"))
+    away = F.greatest(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.lit(0.0))
+    return summed.select(
+        "column", "value", "date",
+        F.when(F.col("n") > 0, centre + F.col("s") / F.col("n")).alias("past_mean"),
+        F.when(F.col("n") > 1, F.sqrt(away / (F.col("n") - 1))).otherwise(0.0).alias("past_std"),
+        F.col("n").alias("past_count"),
+    )
+
+
+def add_past_target_encoding(
+    df: DataFrame, columns: Sequence[str], target: str = "demand", date: str = "date", smoothing: float = 0.0, spread_by: Sequence[str] = ("store_id", "item_id"),
+) -> DataFrame:
+    """Target statistics of several columns as they were known before the row's day.
+
+    ``smoothing`` rows of the overall past mean are added to every mean, so
+    rare categories lean on it; without any earlier row both are null.
+    """
+    marked = df.withColumn("_all", F.lit("all")) if smoothing else df
+    table = settle(past_statistics(marked, [*columns, *(["_all"] if smoothing else [])], target, date), "past")
+    if smoothing:
+        overall = table.where(F.col("column") == "_all").select(F.col("date").alias(date), F.col("past_mean").alias("_overall"))
+        df = attach(df, overall, [date], spread_by=[c for c in spread_by if c != date])
+    for c in columns:
+        names = {f"past_{x}": f"{c}_past_{x}" for x in ("mean", "std", "count")}
+        own = table.where(F.col("column") == c).select(F.coalesce("value", F.lit("")).alias("_value"), F.col("value").isNull().alias("_none"), F.col("date").alias(date), *[F.col(a).alias(b) for a, b in names.items()])
+        text = F.col(c).cast("string")
+        keyed = df.withColumns({"_value": F.coalesce(text, F.lit("")), "_none": text.isNull()})
+        df = attach(keyed, own, ["_value", "_none", date], spread_by=[x for x in spread_by if x != c]).drop("_value", "_none")
+        if smoothing:
+            n = F.col(f"{c}_past_count")
+            mixed = (F.coalesce(F.col(f"{c}_past_mean") * n, F.lit(0.0)) + smoothing * F.col("_overall")) / (n + smoothing)
+            df = df.withColumn(f"{c}_past_mean", mixed)
+    return df.drop("_overall")
+
+
+def add_past_ratio(df: DataFrame, value: str, by: str, name: str, date: str = "date", spread_by: Sequence[str] = ("store_id", "item_id")) -> DataFrame:
+    """A value over the mean that its category had on strictly earlier days; null before it has any or where it is 0."""
+    means = past_statistics(df, [by], value, date).where("value is not null").select(F.col("value").alias("_value"), F.col("date").alias(date), F.col("past_mean").alias("_mean"))
+    keyed = attach(df.withColumn("_value", F.col(by).cast("string")), means, ["_value", date], spread_by=[c for c in spread_by if c != by])
+    return keyed.withColumn(name, F.try_divide(F.col(value).cast("double"), F.col("_mean"))).drop("_value", "_mean")

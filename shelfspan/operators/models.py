@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from shelfspan.operators.evaluate import basic_metrics
 from shelfspan.operators.joins import attach
 from shelfspan.operators.prepare import align_columns, assemble, feature_groups, fit_medians
+from shelfspan.operators.splits import Fold, fold_rows
 from shelfspan.session import settle, shared_folder
 
 LABEL = "demand"
@@ -70,46 +71,77 @@ def random_forest(trees: int = 200, depth: int = 15, min_rows: int = 2, label: s
 # ---- trend and seasonality ------------------------------------------------
 
 
-def seasonal_basis(date: str, start: Column, weekly: int = 3, yearly: int = 10) -> Column:
-    """Constant, trend and Fourier terms of a date as one array."""
+#: Share of the history that may hold changes of the trend, and how strongly they are drawn to 0.
+CHANGE_RANGE, CHANGE_PENALTY = 0.8, 0.05
+
+
+def seasonal_basis(
+    date: str, start: Column, weekly: int = 3, yearly: int = 10, end: Column | None = None, changepoints: int = 0, events: Sequence[Column] = (),
+) -> Column:
+    """Constant, trend and Fourier terms of a date as one array, then bends of the trend and events.
+
+    ``changepoints`` bends lie evenly over the first part of the days from
+    ``start`` to ``end``; a bend is the time since it, 0 before. Events are
+    expressions of the date.
+    """
     day = F.datediff(F.col(date), start).cast("double")
     terms = [F.lit(1.0), day / 365.25]
     for period, order in ((7.0, weekly), (365.25, yearly)):
         for k in range(1, order + 1):
             angle = 2 * F.pi() * k * day / period
             terms += [F.sin(angle), F.cos(angle)]
-    return F.array(*terms)
+    if changepoints:
+        length = F.datediff(end, start).cast("double")
+        terms += [F.greatest(day - length * (CHANGE_RANGE * k / (changepoints + 1)), F.lit(0.0)) / 365.25 for k in range(1, changepoints + 1)]
+    return F.array(*terms, *[e.cast("double") for e in events])
 
 
-def _solve(frame: pd.DataFrame) -> pd.DataFrame:
-    """Weighted least squares over one group's days."""
-    x = np.vstack(frame["basis"].to_numpy())
-    n, s, q = (frame[c].to_numpy(dtype=float) for c in ("n", "s", "q"))
-    root = np.sqrt(n)
-    coefficients, *_ = np.linalg.lstsq(x * root[:, None], s / n * root, rcond=None)
-    fit = x @ coefficients
-    squared = np.maximum(q - 2 * fit * s + n * fit * fit, 0).sum()
-    spread = float(np.sqrt(squared / max(n.sum() - len(coefficients), 1)))
-    return pd.DataFrame({"group": [frame["group"].iloc[0]], "coefficients": [coefficients.tolist()], "spread": [spread]})
+def _solver(penalties: Sequence[float]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Weighted least squares over one group's days; a penalty is added to the square of its coefficient."""
 
+    def solve(frame: pd.DataFrame) -> pd.DataFrame:
+        x = np.vstack(frame["basis"].to_numpy())
+        n, s, q = (frame[c].to_numpy(dtype=float) for c in ("n", "s", "q"))
+        root = np.sqrt(n)
+        left, right = x * root[:, None], s / n * root
+        if any(penalties):
+            drawn = np.sqrt(np.asarray(penalties) * n.sum())
+            left, right = np.vstack([left, np.diag(drawn)[drawn > 0]]), np.append(right, np.zeros((drawn > 0).sum()))
+        coefficients, *_ = np.linalg.lstsq(left, right, rcond=None)
+        fit = x @ coefficients
+        squared = np.maximum(q - 2 * fit * s + n * fit * fit, 0).sum()
+        spread = float(np.sqrt(squared / max(n.sum() - len(coefficients), 1)))
+        return pd.DataFrame({"group": [frame["group"].iloc[0]], "coefficients": [coefficients.tolist()], "spread": [spread]})
 
-def fit_seasonal(df: DataFrame, by: str, start: Column, label: str = LABEL, date: str = "date") -> DataFrame:
-    """Coefficients of log demand per group.
+    return solve
+
+
+def fit_seasonal(
+    df: DataFrame, by: str, start: Column, label: str = LABEL, date: str = "date", basis: Column | None = None, penalties: Sequence[float] = (), logarithm: bool = True,
+) -> DataFrame:
+    """Coefficients of log demand per group, or of demand itself.
 
     Rows are summed per group and day first: the terms depend on the date only,
     so a group's problem has one row per calendar day however many rows it has.
     """
-    y = F.log1p(F.col(label).cast("double"))
+    y = F.col(label).cast("double")
+    y = F.log1p(y) if logarithm else y
+    terms = seasonal_basis(date, start) if basis is None else basis
     days = df.groupBy(F.col(by).cast("string").alias("group"), date).agg(
         F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q")
     )
-    rows = days.select("group", "n", "s", "q", seasonal_basis(date, start).alias("basis"))
-    return rows.groupBy("group").applyInPandas(_solve, "group string, coefficients array<double>, spread double")
+    rows = days.select("group", "n", "s", "q", terms.alias("basis"))
+    return rows.groupBy("group").applyInPandas(_solver(penalties), "group string, coefficients array<double>, spread double")
+
+
+def bend_penalties(weekly: int = 3, yearly: int = 10, changepoints: int = 25, events: int = 0, strength: float = CHANGE_PENALTY) -> list[float]:
+    """Penalties for ``seasonal_basis``: bends are drawn to 0, all else is free."""
+    return [0.0] * (2 + 2 * (weekly + yearly)) + [strength] * changepoints + [0.0] * events
 
 
-def predict_seasonal(df: DataFrame, fitted: DataFrame, by: str, start: Column, date: str = "date") -> DataFrame:
+def predict_seasonal(df: DataFrame, fitted: DataFrame, by: str, start: Column, date: str = "date", basis: Column | None = None) -> DataFrame:
     """Add ``y_pred`` and its 95 % interval, on the demand scale and not negative."""
-    keyed = df.withColumns({"group": F.col(by).cast("string"), "_basis": seasonal_basis(date, start)})
+    keyed = df.withColumns({"group": F.col(by).cast("string"), "_basis": seasonal_basis(date, start) if basis is None else basis})
     joined = attach(keyed, fitted, ["group"], spread_by=[date])
     level = F.aggregate(F.zip_with("_basis", "coefficients", lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
     joined = joined.withColumn("_level", level)
@@ -226,6 +258,64 @@ def search(make: Callable[..., Estimator], candidates: Sequence[dict], folds: Da
     return spark.createDataFrame(rows, "candidate int, params string, rmse double")
 
 
+def search_months(
+    make: Callable[..., Estimator], space: dict[str, tuple], stored: DataFrame, folds: Sequence[Fold], trials: int = 100, startup: int = 10,
+    good: float = 0.25, seed: int = SEED,
+) -> DataFrame:
+    """Trials that learn from those before: ``candidate, params, source, folds, rmse, pruned``.
+
+    The first ``startup`` candidates are random. Behind them the finished
+    trials are parted into the best ``good`` share and the rest; of a number of
+    draws from the density of the good ones that is tried whose ratio of good
+    to bad density is greatest. A trial ends after a fold whose error exceeds
+    the median that earlier trials had there; its rmse is the mean so far.
+    ``stored`` comes from ``store_by_month``, so a fold reads only its months.
+    """
+    draw = random.Random(seed)
+    done: list[tuple[dict, float, list[float], bool]] = []
+    rows = []
+    for number in range(trials):
+        finished = [(p, e) for p, e, _, pruned in done if not pruned]
+        from_model = number >= startup and len(finished) >= 2
+        params = _likely(space, finished, good, draw) if from_model else sampled(space, 1, draw.randrange(1 << 30))[0]
+        errors: list[float] = []
+        pruned = False
+        for fold in folds:
+            fitted = make(**params).fit(fold_rows(stored, fold, "train"))
+            errors.append(rmse_of(fitted, fold_rows(stored, fold, "valid")))
+            earlier = [e[len(errors) - 1] for _, _, e, _ in done if len(e) >= len(errors)]
+            if number >= startup and len(errors) < len(folds) and earlier and errors[-1] > float(np.median(earlier)):
+                pruned = True
+                break
+        done.append((params, float(np.mean(errors)), errors, pruned))
+        text = ", ".join(f"{k}={v}" for k, v in sorted(params.items()))
+        rows.append((number, text, "model" if from_model else "random", len(errors), float(np.mean(errors)), pruned))
+    return stored.sparkSession.createDataFrame(rows, "candidate int, params string, source string, folds int, rmse double, pruned boolean")
+
+
+def _likely(space: dict[str, tuple], finished: Sequence[tuple[dict, float]], good: float, draw: random.Random, draws: int = 24) -> dict:
+    """The draw from the good trials' densities with the greatest ratio to the others', parameter by parameter."""
+    ranked = [p for p, _ in sorted(finished, key=lambda t: t[1])]
+    cut = max(1, int(np.ceil(good * len(ranked))))
+    chosen = {}
+    for name, (low, high, *scale) in space.items():
+        to, back = (np.log, np.exp) if scale else (float, float)
+        a, b = to(low), to(high)
+        width = max(b - a, 1e-12)
+        best, rest = ([to(p[name]) for p in part] or [(a + b) / 2] for part in (ranked[:cut], ranked[cut:]))
+        spread = width / max(2.0, np.sqrt(len(ranked)))
+
+        def density(x: float, around: Sequence[float]) -> float:
+            # A share of the uniform density keeps every value possible.
+            return 0.1 / width + 0.9 * float(np.mean([np.exp(-((x - c) ** 2) / (2 * spread**2)) for c in around])) / spread  # noqa: B023
+
+        tried = [min(max(draw.gauss(draw.choice(best), spread), a), b) for _ in range(draws)]
+        value = float(back(max(tried, key=lambda x: density(x, best) / density(x, rest))))  # noqa: B023
+        value = min(max(value, low), high)
+        chosen[name] = round(value) if isinstance(low, int) and isinstance(high, int) and not scale else value
+    return chosen
+
+
 def best_candidate(results: DataFrame) -> DataFrame:
     return results.agg(F.min_by("candidate", "rmse").alias("candidate"), F.min_by("params", "rmse").alias("params"), F.min("rmse").alias("rmse"))
 

@@ -21,21 +21,43 @@ def melt(wide: DataFrame, ids: Sequence[str] = SALES_IDS, days: Sequence[str] |
     return long.withColumn("day_num", F.regexp_extract("d", "([0-9]+)", 1).cast("int"))
 
 
+def daily_sums(sales: DataFrame, keys: Sequence[str] = SERIES, date: str = "date", amount: str = "demand", whole: bool = False) -> DataFrame:
+    """Sales summed map-side to one row per series and day; ``whole`` cuts the sums, not the amounts, to whole units."""
+    return sales.groupBy(*keys, date).agg((F.sum(amount).cast("long") if whole else F.sum(amount)).alias(amount))
+
+
+def expand_gaps(sums: DataFrame, low: Column, high: Column, keys: Sequence[str] = SERIES, date: str = "date", amount: str = "demand") -> DataFrame:
+    """One row per series and day between two dates from one row per day with sales.
+
+    Every row is repeated for the days up to the next one of its series, with 0
+    on all but its own; the first one also covers the days before it. No table
+    of days is joined, and one exchange on the series does it. Days outside the
+    two dates and null days add no amount but keep their series.
+    """
+    inside = F.col(date).between(low, high)
+    held = sums.select(*keys, F.when(inside, F.col(date)).alias("_day"), F.when(inside, F.col(amount)).alias(amount)).withColumns(
+        {"_before": F.lag("_day").over(series_window(keys, "_day")), "_next": F.lead("_day").over(series_window(keys, "_day"))}
+    )
+    used = held.where(F.col("_day").isNotNull() | (F.col("_next").isNull() & F.col("_before").isNull()))
+    one = F.expr("interval 1 day")
+    start = F.when(F.col("_before").isNull(), low).otherwise(F.col("_day"))
+    days = F.sequence(start, F.coalesce(F.date_sub("_next", 1), high), one)
+    own = F.coalesce(F.col(date) == F.col("_day"), F.lit(False))
+    zero = F.lit(0).cast(sums.schema[amount].dataType)
+    return used.select("*", F.explode(days).alias(date)).select(*keys, date, F.when(own, F.coalesce(amount, zero)).otherwise(zero).alias(amount))
+
+
 def densify(
     sales: DataFrame, low: Column, high: Column, keys: Sequence[str] = SERIES, date: str = "date", amount: str = "demand", whole: bool = False
 ) -> DataFrame:
     """One row per series and day between two dates, zero where nothing sold.
 
-    Sales are summed map-side first, then joined to the days of every series;
-    both sides hold at most one row per series and day, so no key is hot and a
-    series never outgrows the calendar. Sums keep the type of the amounts;
-    ``whole`` cuts the sums, not the amounts, to whole units.
+    The sales are read once. A series holds at most one row a day when it is
+    exchanged, so it never outgrows the calendar. Sums keep the type of the
+    amounts.
     """
-    every_day = F.explode(F.sequence(low, high, F.expr("interval 1 day")))
-    spine = sales.select(*keys).distinct().select(*keys, every_day.alias(date))
-    sold = sales.groupBy(*keys, date).agg((F.sum(amount).cast("long") if whole else F.sum(amount)).alias(amount))
-    known = F.coalesce(F.col(amount), F.lit(0).cast(sold.schema[amount].dataType))
-    return spine.join(sold, [*keys, date], "left").withColumn(amount, known)
+    marked = sales.withColumn(date, F.when(F.col(date).between(low, high), F.col(date)))
+    return expand_gaps(daily_sums(marked, keys, date, amount, whole), low, high, keys, date, amount)
 
 
 def series_window(keys: Sequence[str] = SERIES, order: str = "date") -> Window:

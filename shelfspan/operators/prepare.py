@@ -102,3 +102,17 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
 def robust_scaler(source: str = "features", output: str = "scaled") -> RobustScaler:
     """Median and interquartile scaling."""
     return RobustScaler(inputCol=source, outputCol=output, withCentering=True, withScaling=True)
+
+
+def robust_scale(df: DataFrame, columns: Sequence[str], by_rows: DataFrame | None = None) -> DataFrame:
+    """Columns less their exact median, over their exact interquartile range; a range of 0 counts as 1.
+
+    ``by_rows`` are the rows the statistics come from. Nulls stay null.
+    """
+    fitted = exact_percentiles(df if by_rows is None else by_rows, columns, [0.25, 0.5, 0.75]).collect()
+    known = {(r["column"], r["p"]): r["value"] for r in fitted}
+    scaled = {}
+    for c in columns:
+        low, middle, high = (known.get((c, p), 0.0) for p in (0.25, 0.5, 0.75))
+        scaled[c] = (F.col(c).cast("double") - F.lit(middle)) / F.lit((high - low) or 1.0)
+    return df.withColumns(scaled)

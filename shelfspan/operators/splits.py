@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspan.operators.joins import attach
 from shelfspan.operators.ordering import date_index
+from shelfspan.session import shared_path
 
 
 def split_by_last_days(df: DataFrame, test_days: int = 28, validation_days: int = 28, date: str = "date") -> DataFrame:
@@ -63,3 +67,53 @@ def expanding_folds(df: DataFrame, n_splits: int = 3, test_dates: int | None = N
         return F.when(idx < start, "train").when(idx < start + size, "valid")
 
     return _explode_folds(_with_index(df, date), n_splits, role)
+
+
+class Fold(NamedTuple):
+    """First and last day of the training and of the validation rows, all inclusive."""
+
+    train_from: dt.date
+    train_to: dt.date
+    valid_from: dt.date
+    valid_to: dt.date
+
+
+def _dates(df: DataFrame, date: str) -> list[dt.date]:
+    """Distinct days in order; no more than the calendar has."""
+    return [r[0] for r in df.select(F.col(date).cast("date").alias(date)).distinct().where(f"{date} is not null").orderBy(date).collect()]
+
+
+def _bounds(dates: list[dt.date], cuts: list[tuple[int, int]]) -> list[Fold]:
+    """Folds from (first validation place, place behind the last); without a training or a validation day there is none."""
+    return [Fold(dates[0], dates[a - 1], dates[a], dates[b - 1]) for a, b in cuts if 0 < a < b <= len(dates)]
+
+
+def rolling_origin_bounds(df: DataFrame, n_splits: int = 3, test_dates: int = 28, validation_dates: int = 28, date: str = "date") -> list[Fold]:
+    """The folds of ``rolling_origin_folds`` as dates."""
+    dates = _dates(df, date)
+    step = (len(dates) - test_dates - validation_dates) // n_splits
+    ends = [len(dates) - test_dates - fold * step for fold in range(n_splits)]
+    return _bounds(dates, [(end - validation_dates, end) for end in ends])
+
+
+def expanding_bounds(df: DataFrame, n_splits: int = 3, test_dates: int | None = None, date: str = "date") -> list[Fold]:
+    """The folds of ``expanding_folds`` as dates."""
+    dates = _dates(df, date)
+    size = len(dates) // (n_splits + 1) if test_dates is None else test_dates
+    starts = [len(dates) - (n_splits - fold) * size for fold in range(n_splits)]
+    return _bounds(dates, [(start, start + size) for start in starts])
+
+
+def store_by_month(df: DataFrame, name: str = "by_month", date: str = "date") -> DataFrame:
+    """The table written once, one folder for each month, and read back with its ``month_start``."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.withColumn("month_start", F.trunc(date, "MM").cast("date")).repartition("month_start", F.pmod(F.xxhash64(*[c for c in df.columns if c != "features"]), F.lit(8))).write.partitionBy("month_start").parquet(path)
+    return spark.read.parquet(path)
+
+
+def fold_rows(stored: DataFrame, fold: Fold, role: str, date: str = "date") -> DataFrame:
+    """Training or validation rows of a fold; only the months in question are read, and no row is copied."""
+    low, high = (fold.train_from, fold.train_to) if role == "train" else (fold.valid_from, fold.valid_to)
+    months = F.col("month_start").between(low.replace(day=1), high.replace(day=1))
+    return stored.where(months & F.col(date).between(low, high)).drop("month_start")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspan.operators.demand import mean_forecast, naive_forecast
-from shelfspan.operators.panel import densify
+from shelfspan.operators.panel import daily_sums, densify, expand_gaps
+from shelfspan.session import settle
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,11 +48,12 @@ def date_bounds(lineitem: DataFrame) -> tuple[F.Column, F.Column]:
 
 def panel(spark: SparkSession, folder: str) -> DataFrame:
     """Dense daily demand with its hierarchy, day label and day number."""
-    lineitem = table(spark, folder, "lineitem")
-    lines = sale_lines(spark, folder, lineitem)
-    low, high = date_bounds(lineitem)
-    sales = lines.select("store_id", "item_id", "state_id", "date", F.col("quantity").alias("demand"))
-    dense = densify(sales, low, high, keys=("store_id", "item_id", "state_id"), whole=True)
+    keys = ("store_id", "item_id", "state_id")
+    lines = sale_lines(spark, folder).select(*keys, "date", F.col("quantity").alias("demand"))
+    # The fact table is read once; its dates are those of the stored sums.
+    sums = settle(daily_sums(lines, keys, whole=True), "daily")
+    low, high = sums.agg(F.min("date")).scalar(), sums.agg(F.max("date")).scalar()
+    dense = expand_gaps(sums, low, high, keys)
     brand = F.regexp_extract("item_id", "([0-9]+)", 1).cast("int")
     day_num = F.datediff(F.col("date"), low) + 1
     cat = F.concat(F.lit("CAT_"), (brand % 3).cast("string"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from shelfspan.operators import evaluate as ev
 from shelfspan.operators.demand import add_activity, add_lags, add_rolling
 from shelfspan.operators.models import MatrixStage, forecast_frame, save_model, score, train, weighted_mean
 from shelfspan.operators.splits import split_by_last_days
+from shelfspan.plans.chain import DemandChain
 from shelfspan.session import settle, shared_folder
 from shelfspan.sources.tables import append_run
 
@@ -64,6 +66,38 @@ def compare(
     return pipelines, records, ev.simple_record(settle(forecasts, "forecasts"))
 
 
+class Path(NamedTuple):
+    """What the training path makes: pipelines that take rows of its input, records, forecasts and their metrics."""
+
+    pipelines: dict[str, PipelineModel]
+    records: DataFrame
+    forecasts: DataFrame
+    metrics: DataFrame
+    by_category: DataFrame
+    columns: list[str]
+
+
+def fit_path(df: DataFrame, estimators: dict[str, Estimator], weights: dict[str, float] | None = None) -> Path:
+    """Fit the leak-free chain and every model on the training rows, score and evaluate the test rows.
+
+    ``df`` is an integrated panel with ``split``. The chain, the medians and the
+    models learn from its training rows only; the features of later rows come
+    from the stored chain. Each pipeline is the chain, the matrix stage and the
+    model, so it scores raw rows that bring their history along.
+    """
+    shared_folder(df.sparkSession)
+    fitted = DemandChain().fit(df.where(F.col("split") == "train"))
+    columns = fitted.getOrDefault(fitted.columns)
+    featured = settle(fitted.transform(df), "featured")
+    stage = MatrixStage(columns=columns).fit(featured.where(F.col("split") == "train"))
+    data = settle(stage.transform(featured).select(*KEYS, "demand", "split", "features"), "matrix")
+    models, records = train(estimators, data.where(F.col("split") == "train"), data.where(F.col("split") == "valid"))
+    scored = score(models, data.where(F.col("split") == "test")).withColumn("ensemble", weighted_mean(list(models), weights))
+    forecasts = settle(forecast_frame(scored, [*models, "ensemble"], KEYS), "forecasts")
+    pipelines = {name: PipelineModel(stages=[fitted, stage, model]) for name, model in models.items()}
+    return Path(pipelines, records, forecasts, ev.simple_record(forecasts), ev.simple_record(forecasts, ("model", "cat_id")), columns)
+
+
 def promote(models: dict[str, PipelineModel], metrics: DataFrame, folder: str, metric: str = "rmse") -> str:
     """Save the best pipeline below ``folder`` and append its record.
 

@@ -9,6 +9,7 @@ from shelfspan.queries import (  # noqa: F401
     quality,
     scalars,
     sources,
+    training,
     windows,
 )
 from shelfspan.queries.base import ORACLES, QUERIES

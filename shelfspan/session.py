@@ -58,3 +58,14 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a settled table that nothing reads any more; other tables are left alone."""
+    spark = df.sparkSession
+    root = f"{shared_folder(spark)}/shelfspan/"
+    tail = root.rpartition(":")[2].lstrip("/")
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if tail in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
