@@ -28,8 +28,8 @@ from shelfspan.llm.text import column_of, slices, strings
 MARK = "▁"
 #: Words over this many characters go through a heap, shorter ones side by side.
 SIDE_BY_SIDE = 40
-#: Different words a Python worker keeps; the cache starts anew beyond it.
-CACHE_WORDS = 350_000
+#: Different words a Python worker keeps, in two generations: the older one goes when the younger holds half of them.
+CACHE_WORDS = 700_000
 NONE = np.int64(1 << 40)
 
 
@@ -82,6 +82,7 @@ class Agenda:
         #: A vocabulary may ask for a mark before the first word of a text.
         self.prefix = MARK if self.library.normalize("a").startswith(MARK) else ""
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.first = np.array([self.library.bos_id()], "<u4").tobytes()
         self.last = np.array([self.library.eos_id()], "<u4").tobytes()
 
@@ -189,12 +190,15 @@ class Agenda:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, with begin and end, as little-endian 32-bit integers."""
         split = [self.words.findall(self.prefix + t.replace(" ", MARK)) if t else [] for t in texts]
-        cache = self.cache
         met = set().union(*split)
+        if len(self.cache) > CACHE_WORDS // 2:
+            self.old, self.cache = self.cache, {}
+        cache = self.cache
         new = met.difference(cache)
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = met
+        # Words that are still met move on to the younger generation.
+        known = new.intersection(self.old)
+        cache.update((w, self.old[w]) for w in known)
+        new -= known
         short = [w for w in new if len(w) <= SIDE_BY_SIDE]
         cache.update(zip(short, self.side_by_side(short), strict=True))
         cache.update((w, self.by_heap(w)) for w in new if len(w) > SIDE_BY_SIDE)
@@ -237,14 +241,14 @@ def encode(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", keep_ids: b
         for batch in slices(batches):
             texts = strings(batch)
             coded = coder.encode(texts)
-            theirs = [coder.library.encode_as_numpy(t, add_bos=True, add_eos=True) for t in texts]
+            theirs = [coder.library.encode_as_numpy(t, add_bos=True, add_eos=True).astype("<u4", copy=False).tobytes() for t in texts]
             decoded = [coder.decode(ids) for ids in coded]
             columns = [
                 column_of(batch, "doc_id"),
                 pa.array([len(ids) // 4 for ids in coded], pa.int64()),
                 pa.array(map(sha, coded), pa.string()),
                 pa.array([sha(d.encode()) for d in decoded], pa.string()),
-                pa.array([a.astype("<u4").tobytes() == b for a, b in zip(theirs, coded, strict=True)], pa.bool_()),
+                pa.array([a == b for a, b in zip(theirs, coded, strict=True)], pa.bool_()),
             ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"]
             if keep_ids:
