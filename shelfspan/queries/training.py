@@ -366,7 +366,7 @@ def grid_facts(spark, folder):
     "m06_m15_model_facts",
     facts_sql({
         "rows scored": TEST_ROWS, "models": "2", "negative or missing": "0", "ensemble differs from its weights": "0", "importances sum": "1", "negative importances": "0",
-        "features": str(len(training.FEATURES)), "records": "2", "recorded error differs": "0", "promoted isn't the best": "0", "promoted error differs": "0", "different after loading": "0",
+        "features": str(len(training.FEATURES)), "records": "2", "recorded error differs": "0", "promoted is not the best": "0", "promoted error differs": "0", "different after loading": "0",
         "worse than the mean": "0",
     }),
 )
@@ -400,7 +400,7 @@ def model_facts(spark, folder):
         "rows scored": sums["n"], "models": len(fitted), "negative or missing": sums["bad"], "ensemble differs from its weights": sums["off"],
         "importances sum": weights[0], "negative importances": weights[1], "features": weights[2], "records": records.count(),
         "recorded error differs": sum(abs(errors[name] - again[name]) > 1e-6 for name in errors),
-        "promoted isn't the best": sums[f"rmse_{best}"] > min(sums[f"rmse_{name}"] for name in fitted) + 1e-9,
+        "promoted is not the best": sums[f"rmse_{best}"] > min(sums[f"rmse_{name}"] for name in fitted) + 1e-9,
         "promoted error differs": abs(float(run["value"]) - sums[f"rmse_{best}"]) > 1e-6 or abs(table[best] - sums[f"rmse_{best}"]) > 1e-6,
         "different after loading": joined.where(f"again is null or {best} is null or abs(again - {best}) > 1e-9").count(),
         "worse than the mean": sum(sums[f"rmse_{name}"] > sums["plain"] for name in names),
