@@ -52,7 +52,7 @@ STAGES = [
     ("source_mix", mix_sources),
     ("sentencepiece", to_pieces),
 ]
-#: Trained models and sampled signatures have no SQL; tests compare the run with a brute-force version.
+#: Trained models and sampled signatures have no SQL; tests hold each stage against its input: labels, all pairs, masked values, the library.
 ORACLE_SQL = None
 
 
