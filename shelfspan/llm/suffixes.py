@@ -7,13 +7,15 @@ is an anchor, so equal strings of 50 bytes share an anchor at the same place
 
 1. Anchors whose gram occurs in two documents are found by their hash.
 2. Each such anchor becomes a suffix of 50 bytes with the 32 bytes before it.
-   Splitters sampled from the texts deal suffixes to ranges by leading bytes.
-   Splitters end after 18 bytes, so suffixes that could match share a range and
-   nothing has to be compared across boundaries.
+   Splitters sampled from the texts deal suffixes to ranges by these bytes, so
+   the suffixes of one very frequent gram spread over many ranges.
 3. A range sorts its suffixes by a multikey quicksort over 8-byte words. From
    the common prefixes of neighbours follow, for every split of 50 bytes into
    left and right, the classes of equal strings and their smallest document.
-4. The covered bytes go back to the texts.
+4. A class whose common prefix a splitter of its range shares may go on in the
+   range beyond. The suffixes of its smallest document here are compared across
+   the boundary: they meet by their string, one row per range and place.
+5. The covered bytes go back to the texts.
 
 Anchors, suffixes and results travel as compressed blobs by hash, range or
 document; within a task equal suffixes are reduced to their smallest document
@@ -28,11 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspan.llm.blobs import by_part, groups, pack, unpack
 from shelfspan.llm.text import column_of, flat, slices
+from shelfspan.operators.joins import attach
+from shelfspan.operators.ordering import running_totals
 from shelfspan.session import settle
 
 LENGTH = 50
@@ -41,11 +45,14 @@ LEFT = LENGTH - GRAM
 #: Bytes of text whose anchors a task reduces at once, and bytes of text per bucket and range.
 REDUCE_BYTES = 24_000_000
 BUCKET_BYTES, LEAST_BUCKETS = 8_000_000, 64
-#: Sampled suffixes per range.
-SAMPLES = 24
+#: Rows of a partition that are sorted directly.
+FEW = 48
+#: Sampled suffixes per range, and the most that the driver gets; ranges hold more text where that binds.
+SAMPLES, MOST_SAMPLES = 24, 400_000
 BASE = 0x9E3779B97F4A7C15
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 ROWS = "kind int, part long, a binary, b binary, c binary, d binary"
-HASHES, SHARED, COPIES, SPANS, TEXT, SUFFIXES = range(6)
+HASHES, SHARED, COPIES, SPANS, TEXT, SUFFIXES, OPEN = range(7)
 
 
 def row(kind: int, part: int, *blobs: bytes) -> tuple:
@@ -191,18 +198,19 @@ def share_anchors(rows: DataFrame, parts: int, scale: int) -> DataFrame:
 
 
 def text_rows(docs: DataFrame, parts: int) -> DataFrame:
-    """Compressed texts by document, each with its id."""
+    """Compressed texts by document, each with its number and doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in slices(batches):
             raw, starts = flat(column_of(batch, "text"))
             ids = column_of(batch, "id").to_numpy()
+            names = [b"" if n is None else n.to_bytes(8, "little", signed=True) for n in column_of(batch, "doc_id").to_pylist()]
             data = raw.tobytes()
             where = part_of_doc(ids, parts).tolist()
-            yield batch_of([row(TEXT, w, i.tobytes(), press.compress(data[a:b])) for w, i, a, b in zip(where, ids, starts[:-1].tolist(), starts[1:].tolist(), strict=True)])
+            yield batch_of([row(TEXT, w, i.tobytes(), press.compress(data[a:b]), n) for w, i, n, a, b in zip(where, ids, names, starts[:-1].tolist(), starts[1:].tolist(), strict=True)])
 
-    return docs.select("id", "text").mapInArrow(run, ROWS)
+    return docs.select("id", "doc_id", "text").mapInArrow(run, ROWS)
 
 
 def contexts(raw: np.ndarray, starts: np.ndarray, of: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -217,6 +225,11 @@ def contexts(raw: np.ndarray, starts: np.ndarray, of: np.ndarray, at: np.ndarray
     return np.where(span < real, sides, 0).astype(np.uint8), left.astype(np.uint8), right.astype(np.uint8)
 
 
+def leads_of(sides: np.ndarray) -> np.ndarray:
+    """Contexts as byte strings of the same order."""
+    return np.ascontiguousarray(sides).view(f"S{LENGTH + LEFT}").ravel()
+
+
 def words(table: np.ndarray) -> np.ndarray:
     """Rows of bytes as rows of 8-byte numbers of the same order."""
     wide = np.zeros((len(table), -(-table.shape[1] // 8) * 8), np.uint8)
@@ -224,25 +237,60 @@ def words(table: np.ndarray) -> np.ndarray:
     return wide.view(">u8").astype(np.uint64)
 
 
+def within(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the given runs, and the run of each."""
+    run = np.repeat(np.arange(len(start)), size)
+    return start[run] + np.arange(len(run)) - (np.cumsum(size) - size)[run], run
+
+
 def multikey_order(table: np.ndarray) -> np.ndarray:
-    """Places of the rows in sorted order: quicksort by the first word, then by the next within ties only."""
+    """Places of the rows in sorted order, by multikey quicksort over 8-byte words.
+
+    All partitions of a round are split at once: rows less than, equal to and
+    greater than the median of three of their partition at its word. Equal rows
+    go on with the next word. Partitions of up to FEW rows are sorted by the word
+    at hand directly.
+    """
     keys = words(table)
-    order = np.argsort(keys[:, 0])
-    group = np.cumsum(np.r_[0, (keys[order[1:], 0] != keys[order[:-1], 0])]) if len(order) else order
-    for level in range(1, keys.shape[1]):
-        same = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
-        if not same.any():
-            break
-        at = np.flatnonzero(same)
-        rows = order[at]
-        inner = np.lexsort((keys[rows, level], group[at]))
-        order[at] = rows[inner]
-        new = np.zeros(len(order), bool)
-        new[1:] = (keys[order[1:], level] != keys[order[:-1], level]) & (group[1:] == group[:-1])
-        group = group + np.cumsum(new)
+    order = np.arange(len(keys))
+    start, size, level = (np.array([x]) for x in (0, len(keys), 0))
+    while len(start):
+        few = size <= FEW
+        start, size, level = (np.concatenate(x) for x in zip(split_few(keys, order, start[few], size[few], level[few]), split_many(keys, order, start[~few], size[~few], level[~few]), strict=True))
+        going = (size > 1) & (level < keys.shape[1])
+        start, size, level = start[going], size[going], level[going]
     return order
 
 
+def split_few(keys: np.ndarray, order: np.ndarray, start: np.ndarray, size: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sort small partitions by their word; what is equal there is a partition of the next word."""
+    at, run = within(start, size)
+    value = keys[order[at], level[run]]
+    inner = np.lexsort((value, run))
+    order[at] = order[at[inner]]
+    value = value[inner]
+    new = np.flatnonzero(np.r_[True, (value[1:] != value[:-1]) | (run[1:] != run[:-1])][: len(at)])
+    return at[new], np.diff(np.append(new, len(at))), level[run[new]] + 1
+
+
+def split_many(keys: np.ndarray, order: np.ndarray, start: np.ndarray, size: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Three-way partition of each large partition; less, equal and greater rows become partitions."""
+    at, run = within(start, size)
+    rows = order[at]
+    value = keys[rows, level[run]]
+    first = np.cumsum(size) - size
+    pivot = np.sort(np.stack([value[first], value[first + size // 2], value[first + size - 1]]), 0)[1]
+    less, more = value < pivot[run], value > pivot[run]
+    parts, done = [], start.copy()
+    for side, deeper in ((less, 0), (~less & ~more, 1), (more, 0)):
+        hit = np.flatnonzero(side)
+        count = np.bincount(run[hit], minlength=len(start))
+        order[within(done, count)[0]] = rows[hit]
+        parts.append((done.copy(), count, level + deeper))
+        done += count
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 def common(table: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Length of the common prefix of each sorted row with the one before; 0 for the first."""
     ordered = table[order]
@@ -251,13 +299,29 @@ def common(table: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.r_[0, found]
 
 
-def covered(sides: np.ndarray, left: np.ndarray, right: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each suffix, how many bytes before it and from it strings of smaller documents cover; (0, 0) if none."""
+def beyond(sides: np.ndarray, edges: list[bytes]) -> np.ndarray:
+    """For each suffix, how many leading bytes it shares with a splitter of its range."""
+    found = np.zeros(len(sides), np.int64)
+    for edge in edges:
+        table = np.frombuffer(edge.ljust(LENGTH + LEFT, b"\0"), np.uint8)[:LENGTH]
+        differs = sides[:, :LENGTH] != table
+        found = np.maximum(found, np.where(differs.any(1), differs.argmax(1), LENGTH))
+    return found
+
+
+def covered(sides: np.ndarray, left: np.ndarray, right: np.ndarray, owner: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each suffix, how many bytes before it and from it strings of smaller documents cover; (0, 0) if none.
+
+    Then the strings that may also lie in the next range, ``reach`` being the
+    bytes shared with a splitter: suffix and bytes before it, for the smallest
+    document of each class only, as the others are covered already.
+    """
     n = len(owner)
     order, turned = multikey_order(sides[:, :LENGTH]), multikey_order(sides[:, LENGTH:])
     prefix, suffix = common(sides[:, :LENGTH], order), common(sides[:, LENGTH:], turned)
     most, least = np.full(n, -1, np.int64), np.full(n, LENGTH, np.int64)
     one, other = np.empty(n, np.int64), np.empty(n, np.int64)
+    going = [(np.zeros(0, np.int64), 0)]
     for before in range(LEFT + 1):
         after = LENGTH - before
         one[order] = np.cumsum(prefix < after)
@@ -270,11 +334,58 @@ def covered(sides: np.ndarray, left: np.ndarray, right: np.ndarray, owner: np.nd
         rows, key = at[inner], key[inner]
         first = groups(key)
         smallest = np.repeat(owner[rows[first]], np.diff(np.append(first, len(rows))))
-        hit = rows[smallest < owner[rows]]
+        later = smallest < owner[rows]
+        hit = rows[later]
         most[hit] = np.maximum(most[hit], before)
         least[hit] = np.minimum(least[hit], before)
+        going.append((rows[~later & (reach[rows] >= after)], before))
     some = most >= 0
-    return np.where(some, most, 0), np.where(some, LENGTH - least, 0)
+    open_rows = np.concatenate([r for r, _ in going])
+    open_before = np.repeat([b for _, b in going], [len(r) for r, _ in going])
+    return np.where(some, most, 0), np.where(some, LENGTH - least, 0), open_rows, open_before
+
+
+def open_blobs(parts: int, docs: np.ndarray, places: np.ndarray, sides: np.ndarray, before: np.ndarray) -> list[tuple]:
+    """Strings to compare across boundaries, dealt by their bytes: document, first byte, the 50 bytes."""
+    if not len(docs):
+        return []
+    step = np.arange(LENGTH)
+    place = np.where(step < before[:, None], LENGTH + before[:, None] - 1 - step, step - before[:, None])
+    strings = np.take_along_axis(sides, place, 1)
+    code = np.zeros(len(strings), np.uint64)
+    for word in words(strings).T:
+        code = (code ^ word) * np.uint64(BASE)
+        code ^= code >> np.uint64(29)
+    return [row(OPEN, part, pack(docs[at]), pack((places - before)[at].astype(np.uint32)), pack(strings[at])) for part, at in by_part((code >> np.uint64(33)).astype(np.int64) % parts)]
+
+
+def across(rows: DataFrame, parts: int, scale: int) -> DataFrame:
+    """Spans of the strings of a range that a smaller document has in another range."""
+
+    def matched(held: list[tuple]) -> list[tuple]:
+        docs = np.concatenate([unpack(a, np.int64) for a, _, _ in held])
+        start = np.concatenate([unpack(b, np.uint32) for _, b, _ in held]).astype(np.int64)
+        unpress = zstandard.ZstdDecompressor().decompress
+        strings = np.concatenate([np.frombuffer(unpress(c), np.uint8).reshape(-1, LENGTH) for _, _, c in held])
+        order = multikey_order(strings)
+        first = np.flatnonzero(common(strings, order) < LENGTH)
+        owner = docs[order] // scale
+        smallest = np.repeat(np.minimum.reduceat(owner, first), np.diff(np.append(first, len(order))))
+        later = order[smallest < owner]
+        return span_blobs(parts, docs[later], start[later], start[later] + LENGTH)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for _, part, a, b, c, _ in part_rows(batches):
+            if part != now and held:
+                yield batch_of(matched(held))
+                held = []
+            now = part
+            held.append((a, b, c))
+        if held:
+            yield batch_of(matched(held))
+
+    return dealt(rows, parts).mapInArrow(run, ROWS)
 
 
 def reduce_suffixes(docs, places, sides, left, right, scale: int):
@@ -326,7 +437,7 @@ def cut_suffixes(rows: DataFrame, splitters: np.ndarray, parts: int, scale: int)
             keep, spans = reduce_suffixes(docs, places, sides, left, right, scale)
             out = span_blobs(parts, *spans)
             docs, places, sides, left, right = docs[keep], places[keep], sides[keep], left[keep], right[keep]
-            lead = np.ascontiguousarray(sides[:, :GRAM]).view(f"S{GRAM}").ravel()
+            lead = leads_of(sides)
             for part, at in by_part(np.searchsorted(splitters, lead, "right")):
                 at = at[np.argsort(lead[at], kind="stable")]
                 sizes = np.stack([left[at], right[at]]).tobytes()
@@ -391,10 +502,12 @@ def cut_suffixes(rows: DataFrame, splitters: np.ndarray, parts: int, scale: int)
     return dealt(rows, parts).mapInArrow(run, ROWS)
 
 
-def match_suffixes(rows: DataFrame, ranges: int, parts: int, scale: int) -> DataFrame:
-    """Covered spans by document, out of the sorted suffixes of each range."""
+def match_suffixes(rows: DataFrame, splitters: np.ndarray, parts: int, scale: int) -> DataFrame:
+    """Covered spans by document, out of the sorted suffixes of each range, and strings to compare across its boundaries."""
+    shared = rows.sparkSession.sparkContext.broadcast(splitters)
 
-    def matched(held: list[tuple]) -> list[tuple]:
+    def matched(held: list[tuple], part: int) -> list[tuple]:
+        edges = [bytes(x) for x in shared.value[max(part - 1, 0) : part + 1]]
         docs = np.concatenate([unpack(a, np.int64) for a, _, _, _ in held])
         places = np.concatenate([unpack(b, np.uint32) for _, b, _, _ in held]).astype(np.int64)
         unpress = zstandard.ZstdDecompressor().decompress
@@ -403,16 +516,16 @@ def match_suffixes(rows: DataFrame, ranges: int, parts: int, scale: int) -> Data
         left, right = np.concatenate([s[0] for s in sizes]), np.concatenate([s[1] for s in sizes])
         keep, spans = reduce_suffixes(docs, places, sides, left, right, scale)
         docs, places, sides, left, right = docs[keep], places[keep], sides[keep], left[keep], right[keep]
-        before, after = covered(sides, left, right, docs // scale)
+        before, after, at, lead = covered(sides, left, right, docs // scale, beyond(sides, edges))
         some = after > 0
         all_docs, start, end = (np.concatenate(x) for x in zip(spans, (docs[some], (places - before)[some], (places + after)[some]), strict=True))
-        return span_blobs(parts, all_docs, start, end)
+        return span_blobs(parts, all_docs, start, end) + open_blobs(parts, docs[at], places[at], sides[at], lead)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
         for kind, part, a, b, c, d in part_rows(batches):
             if part != now and held:
-                yield batch_of(matched(held))
+                yield batch_of(matched(held, now))
                 held = []
             now = part
             if kind == SUFFIXES:
@@ -420,13 +533,13 @@ def match_suffixes(rows: DataFrame, ranges: int, parts: int, scale: int) -> Data
             else:
                 yield batch_of([(kind, part, a, b, c, d)])
         if held:
-            yield batch_of(matched(held))
+            yield batch_of(matched(held, now))
 
-    return dealt(rows, ranges).mapInArrow(run, ROWS)
+    return dealt(rows, len(splitters) + 1).mapInArrow(run, ROWS)
 
 
 def strip(rows: DataFrame, parts: int) -> DataFrame:
-    """``id, n_bytes, n_removed, n_spans, kept_sha256, kept`` out of texts and spans of the same part."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` out of texts and spans of the same part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
@@ -434,7 +547,7 @@ def strip(rows: DataFrame, parts: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
         for kind, part, a, b, c, _ in part_rows(batches):
             if part != now:
@@ -455,7 +568,7 @@ def strip(rows: DataFrame, parts: int) -> DataFrame:
             i, text = int(np.frombuffer(a, np.int64)[0]), unpress.decompress(b)
             cut = [(0, len(text))] if i in copies and len(text) >= LENGTH else ready.get(i, [])
             kept = b"".join([text[s:e] for s, e in zip([0, *[e for _, e in cut]], [*[s for s, _ in cut], len(text)], strict=True)])
-            out.append((i, len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(), kept))
+            out.append((int.from_bytes(c, "little", signed=True) if c else None, len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(), kept))
             size += len(kept)
             if size > 4_000_000 or len(out) > 2_000:
                 yield flush()
@@ -463,64 +576,82 @@ def strip(rows: DataFrame, parts: int) -> DataFrame:
         if out:
             yield flush()
 
-    return dealt(rows, parts).mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return dealt(rows, parts).mapInArrow(run, RESULT)
 
 
 def sample_splitters(docs: DataFrame, total: int, ranges: int) -> np.ndarray:
-    """Leading bytes that cut the suffixes of sampled texts into ranges; the driver gets SAMPLES of them per range."""
+    """Contexts that cut the suffixes of sampled texts into ranges; the driver gets SAMPLES of them per range, MOST_SAMPLES at most."""
+    ranges = min(ranges, MOST_SAMPLES // SAMPLES)
     wanted = ranges * SAMPLES
-    # About 17 bytes of text per anchor; texts are drawn by a hash of their id.
-    share = min(1.0, max(2_000_000, wanted * 17 * 4) / max(total, 1))
+    # About 17 bytes of text per anchor, of which a quarter are drawn; texts are drawn by a hash of their number.
+    share, steps = min(1.0, max(2_000_000, wanted * 17 * 4) / max(total, 1)), 1 << 40
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             raw, starts = flat(column_of(batch, "text"))
             of, at, code = anchors(raw, starts)
-            view = np.concatenate([raw, np.zeros(GRAM, np.uint8)])
-            drawn = at[(code * np.uint64(BASE) >> np.uint64(32)) % np.uint64(4) == 0]
-            yield pa.RecordBatch.from_arrays([pa.array([view[p : p + GRAM].tobytes() for p in drawn], pa.binary())], ["lead"])
+            drawn = np.flatnonzero((code * np.uint64(BASE) >> np.uint64(32)) % np.uint64(4) == 0)
+            # One very long text counts like others: it moves splitters, never results.
+            drawn = drawn[:: 1 + len(drawn) // 50_000]
+            sides = contexts(raw, starts, of[drawn], at[drawn])[0]
+            yield pa.RecordBatch.from_arrays([pa.array([s.tobytes() for s in sides], pa.binary())], ["lead"])
 
-    drawn = docs.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("id", "text")
+    drawn = docs.where(F.pmod(F.xxhash64("id"), F.lit(steps)) < int(share * steps)).select("id", "text")
     leads = drawn.mapInArrow(run, "lead binary").groupBy("lead").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    found = np.sort(np.repeat(np.array([bytes(x) for x in leads["lead"]], f"S{GRAM}"), leads["n"].to_numpy(int)))
+    kind = f"S{LENGTH + LEFT}"
+    found = np.sort(np.repeat(np.array([bytes(x) for x in leads["lead"]], kind), leads["n"].to_numpy(int)))
     if not len(found):
-        return np.zeros(0, f"S{GRAM}")
+        return np.zeros(0, kind)
     return np.unique(found[np.linspace(0, len(found) - 1, ranges + 1).astype(int)[1:-1]])
 
 
+def numbers(facts: DataFrame) -> tuple[DataFrame, int]:
+    """``_none, _id, hash, id``: a number for each text of each doc_id, in the order of doc_id (null last), and numbers per doc_id.
+
+    Ids are ranked over ranges of their order, so nothing is multiplied with an
+    id and no id with very many texts meets in one window. Rank times places
+    stays below 2^62 up to 2^32 different texts, whatever their ids.
+    """
+    texts = settle(facts.select("_none", "_id", "hash").distinct().withColumn("one", F.lit(1).cast("long")), "texts")
+    ids = running_totals(texts.groupBy("_none", "_id").agg(F.sum("one").alias("n")).withColumn("one", F.lit(1).cast("long")), ["_none", "_id"], ["one", "n"])
+    ids = settle(ids.select("_none", "_id", F.col("one_before").alias("rank"), F.col("n_before").alias("first"), "n"), "ids")
+    scale = ids.agg(F.max("n")).first()[0]
+    placed = attach(running_totals(texts, ["_none", "_id", "hash"], ["one"]), ids, ["_none", "_id"], spread_by=["hash"], settled=True)
+    number = F.col("rank") * scale + F.col("one_before") - F.col("first")
+    return settle(placed.select("_none", "_id", "hash", number.alias("id")), "numbers"), scale
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row.
 
-    Null texts are empty. A null doc_id counts as greater than any. Rows that
-    repeat a doc_id are one document and take nothing from each other, also if
-    their texts differ. A later copy of a whole text goes as a whole, if it has
-    50 bytes. ``kept`` holds the bytes left.
+    Null texts are empty. A null doc_id counts as greater than any; ids may be
+    any 64-bit numbers. Rows that repeat a doc_id are one document and take
+    nothing from each other, also if their texts differ. A later copy of a whole
+    text goes as a whole, if it has 50 bytes. ``kept`` holds the bytes left.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keys = {"_none": F.col("doc_id").isNull().cast("int"), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))}
+    hashed = F.md5(F.col("text").cast("binary"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumns(keys)
     # Equal texts are found by hash first; only the smallest document goes on to the suffixes.
-    bounds = rows.select(F.col("doc_id"), F.octet_length("text").alias("size"), F.md5(F.col("text").cast("binary")).alias("hash"))
-    facts = settle(bounds, "texts")
-    total, top = facts.agg(F.sum("size"), F.max("doc_id")).first()
+    facts = settle(rows.select("_none", "_id", F.octet_length("text").alias("size"), hashed.alias("hash")), "texts")
+    total, top, nulls = facts.agg(F.sum("size"), F.max(F.when(F.col("_none") == 0, F.col("_id"))), F.max("_none")).first()
     if total is None:
-        empty = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-        return rows.sparkSession.createDataFrame([], empty)
-    none = (top if top is not None else 0) + 1
-    facts = facts.withColumn("doc_id", F.coalesce("doc_id", F.lit(none)))
-    rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(none)))
-    several = settle(facts.groupBy("doc_id").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where("low < high").select("doc_id"), "several")
-    scale = 1
-    rows, facts = rows.withColumn("id", F.col("doc_id")), facts.withColumn("id", F.col("doc_id"))
-    if not several.isEmpty():
-        # Documents of one id with different texts get numbers of their own, id * scale + place.
-        texts = facts.join(several, "doc_id").select("doc_id", "hash").distinct()
-        placed = settle(texts.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("hash")) - 1), "places")
-        scale = placed.agg(F.max("place")).first()[0] + 1
-        number = (F.col("doc_id") * scale + F.coalesce("place", F.lit(0))).cast("long")
-        rows = rows.withColumn("hash", F.md5(F.col("text").cast("binary"))).join(placed, ["doc_id", "hash"], "left").withColumn("id", number)
-        facts = facts.join(placed, ["doc_id", "hash"], "left").withColumn("id", number)
+        return rows.sparkSession.createDataFrame([], RESULT)
+    several = facts.groupBy("_none", "_id").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where("low < high")
+    top = -1 if top is None else top
+    if (nulls and top == (1 << 63) - 1) or not several.isEmpty():
+        # Documents of one id with different texts get numbers of their own.
+        placed, scale = numbers(facts)
+        known = ["_none", "_id", "hash"]
+        rows = attach(rows.withColumn("hash", hashed), placed, known, settled=True)
+        facts = attach(facts, placed, known, settled=True)
+    else:
+        scale, number = 1, F.when(F.col("_none") == 0, F.col("_id")).otherwise(F.lit(min(top + 1, (1 << 63) - 1)))
+        rows, facts = rows.withColumn("id", number), facts.withColumn("id", number)
     parts = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
-    least = facts.groupBy("hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "first")
-    later = facts.join(least, "hash").where("doc_id > first").select("id").distinct()
+    facts = facts.withColumn("owner", F.expr(f"id div {scale}"))
+    least = facts.groupBy("hash").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first < last").select("hash", "first")
+    later = attach(facts, least, ["hash"], "inner", spread_by=["id"]).where("owner > first").select("id").distinct()
 
     def copy_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -529,11 +660,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     copies = settle(later.mapInArrow(copy_rows, ROWS), "copies")
     splitters = sample_splitters(rows, total, parts)
-    ranges = len(splitters) + 1
     shared = share_anchors(find_anchors(rows, parts, scale), parts, scale)
     texts = text_rows(rows, parts)
     suffixes = cut_suffixes(shared.unionByName(copies).unionByName(texts), splitters, parts, scale)
-    spans = match_suffixes(suffixes, ranges, parts, scale)
-    done = strip(spans.unionByName(copies).unionByName(texts), parts)
-    doc_id = F.floor(F.col("id") / F.lit(scale)) if scale > 1 else F.col("id")
-    return done.withColumn("doc_id", F.when(doc_id != none, doc_id).cast("long")).drop("id")
+    matched = settle(match_suffixes(suffixes, splitters, parts, scale), "spans")
+    spans = matched.where(F.col("kind") == SPANS).unionByName(across(matched.where(F.col("kind") == OPEN), parts, scale))
+    return strip(spans.unionByName(copies).unionByName(texts), parts)

@@ -42,10 +42,7 @@ def test_pieces_agree_with_the_library(docs):
         assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == coder.library.encode(text, add_bos=True, add_eos=True)
 
 
-def test_suffixes_match_brute_force(spark, docs):
-    extra = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(20, "q" * 49), (21, "q" * 49), (22, "q" * 60 + "r" * 60), (23, "z" + "q" * 60 + "s" + "r" * 60), (10, "another text of the same id " * 3)], "doc_id long, text string"))
-    got = sorted((tuple(r) for r in extra_rows(suffixes.remove_repeats(extra))), key=str)
-    rows = [(i, (t or "").encode()) for i, t in extra.collect()]
+def brute_force_removal(rows):
     seen = collections.defaultdict(set)
     for i, b in rows:
         for k in range(len(b) - 49):
@@ -58,7 +55,37 @@ def test_suffixes_match_brute_force(spark, docs):
                 cover[k : k + 50] = True
         kept = bytes(x for x, c in zip(b, cover, strict=False) if not c)
         want.append((i, len(b), len(b) - len(kept), int((np.diff(cover[:-1].astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
-    assert got == sorted(want, key=str)
+    return sorted(want, key=str)
+
+
+def test_suffixes_match_brute_force(spark, docs):
+    extra = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(20, "q" * 49), (21, "q" * 49), (22, "q" * 60 + "r" * 60), (23, "z" + "q" * 60 + "s" + "r" * 60), (10, "another text of the same id " * 3)], "doc_id long, text string"))
+    got = sorted((tuple(r) for r in extra_rows(suffixes.remove_repeats(extra))), key=str)
+    assert got == brute_force_removal([(i, (t or "").encode()) for i, t in extra.collect()])
+
+
+def test_suffixes_of_any_ids(spark):
+    ship(spark)
+    text = "the same passage of more than fifty bytes stands in all of these documents, "
+    for ids in ([2**63 - 1, None, None, -(2**63)], [2**62 + 5, 2**62 + 5, 2**62 + 6, None], [2**63 - 1, 2**63 - 2, 7, -1]):
+        rows = [(i, f"{n} starts here {text * (n + 1)} and ends {n * 'z'}") for n, i in enumerate(ids)]
+        got = extra_rows(suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+        assert sorted(map(tuple, got), key=str) == brute_force_removal([(i, t.encode()) for i, t in rows])
+
+
+def test_suffixes_of_a_frequent_gram_meet_across_ranges(spark, monkeypatch):
+    """All texts hold one gram with other bytes around it; ranges so small that splitters part it."""
+    ship(spark)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 400)
+    rng = np.random.default_rng(3)
+    tails = ["".join(rng.choice(list("ab"), 8)) for _ in range(12)]
+    rows = [(i, f"{tails[i % 5]}{tails[i % 7]} common words of all documents {tails[i % 11]}{tails[i % 12]} {'x' * (i % 40)}{i % 9}") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    plain = suffixes.across
+    monkeypatch.setattr(suffixes, "across", lambda rows, *more: found.append(rows.count()) or plain(rows, *more))
+    got = sorted(map(tuple, extra_rows(suffixes.remove_repeats(frame))), key=str)
+    assert found[0] > 0 and got == brute_force_removal([(i, t.encode()) for i, t in rows])
 
 
 def extra_rows(df):
@@ -69,6 +96,7 @@ def test_multikey_order_sorts_bytes():
     table = np.random.default_rng(1).integers(0, 3, (500, 20)).astype(np.uint8)
     ordered = [table[i].tobytes() for i in suffixes.multikey_order(table)]
     assert ordered == sorted(ordered)
+    assert suffixes.multikey_order(table[:0]).tolist() == [] and suffixes.multikey_order(table[:1]).tolist() == [0]
 
 
 def test_near_copies_share_a_class(docs):
