@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,11 +60,31 @@ def applicable(df: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
     return [r for r in rules if r.column in df.columns]
 
 
+def _counts(rules: Sequence[Rule]) -> list[Column]:
+    return [r.violations.cast("long").alias(f"v{n}") for n, r in enumerate(rules)]
+
+
+def observe_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation]:
+    """The table with its rules counted by whatever job reads it next, in the same pass.
+
+    Put it last before a write: there a task that runs twice is counted once.
+    """
+    observation = Observation()
+    return df.observe(observation, *_counts(rules)), observation
+
+
+def observed_report(spark: SparkSession, dataset: str, rules: Sequence[Rule], observation: Observation) -> DataFrame:
+    """The rows of ``run_rules`` out of the counts of a finished job."""
+    seen = observation.get
+    rows = [(dataset, r.rule, r.column, seen[f"v{n}"] or 0, r.severity) for n, r in enumerate(rules)]
+    return spark.createDataFrame(rows, REPORT)
+
+
 def run_rules(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
     """All rules of one table in a single aggregate, one row per rule."""
     if not rules:
         return df.sparkSession.createDataFrame([], REPORT)
-    row = df.agg(*[r.violations.cast("long").alias(f"v{n}") for n, r in enumerate(rules)])
+    row = df.agg(*_counts(rules))
     cells = F.array(
         *[
             F.struct(

@@ -12,7 +12,7 @@ from shelfspan.operators.joins import join_calendar, join_economic, join_prices,
 from shelfspan.operators.panel import date_gaps
 from shelfspan.plans.features import store_features
 from shelfspan.session import settle
-from shelfspan.sources.tables import write_table
+from shelfspan.sources.tables import write_checked
 
 
 def integrate(
@@ -30,10 +30,11 @@ def integrate(
 def build_feature_store(
     sales: DataFrame, calendar: DataFrame, prices: DataFrame, path: str, weather: DataFrame | None = None,
     economic: DataFrame | None = None, by: Sequence[str] = ("state_id",),
-) -> None:
-    """Integrate, add the compact features and write the store."""
+) -> DataFrame:
+    """Integrate, add the compact features and write the store; returns its rules, counted while writing."""
     integrated = settle(integrate(sales, calendar, prices, weather, economic), "integrated")
-    write_table(store_features(integrated), path, by=by)
+    store = store_features(integrated)
+    return write_checked(store, path, "feature_store", quality.feature_store_rules(store), by=by)
 
 
 def check_core(

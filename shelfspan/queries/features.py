@@ -9,6 +9,7 @@ from shelfspan.operators import encode, prepare, splits
 from shelfspan.operators.demand import add_lags, add_rolling
 from shelfspan.operators.joins import attach, join_weather
 from shelfspan.plans import features, retail
+from shelfspan.plans.store import append_days, create_store, read_store
 from shelfspan.queries.aggregates import MONTHLY, SPLIT
 from shelfspan.queries.base import (
     KEY, OVER, WEATHER, cols, d, f, i, query, rows, with_panel, with_priced,
@@ -16,7 +17,7 @@ from shelfspan.queries.base import (
 from shelfspan.queries.scalars import ANY, COMBOS, HOLIDAYS, LIVE, PARTS, VARIANT, edge, flags, wave
 from shelfspan.queries.windows import KEYS, LAST_SALE, priced
 from shelfspan.schemas import ACTIVE_WINDOWS, CALENDAR_TEXT, LAGS, MOMENTUM_WINDOWS, PATTERN_WINDOWS, WINDOWS
-from shelfspan.session import settle
+from shelfspan.session import settle, shared_path
 
 HIERARCHY = ("item_id", "dept_id", "cat_id", "store_id", "state_id")
 
@@ -374,6 +375,36 @@ def store(spark, folder):
     return df.drop(*unused)
 
 
+STORE_SPANS = (6, 27)
+
+
+def _incremental_sql() -> str:
+    start = ", ".join(f"CAST(demand AS DOUBLE) AS e{n}" for n in STORE_SPANS)
+    step = ", ".join(f"{2.0 / (n + 1)!r} * p.demand + (1 - {2.0 / (n + 1)!r}) * r.e{n} AS e{n}" for n in STORE_SPANS)
+    smooth = f"""
+smooth AS (SELECT store_id, item_id, date, day_num, {start} FROM panel WHERE day_num = 1 UNION ALL
+  SELECT p.store_id, p.item_id, p.date, p.day_num, {step} FROM smooth r JOIN panel p
+    ON p.store_id = r.store_id AND p.item_id = r.item_id AND p.day_num = r.day_num + 1)"""
+    out = [x for x in STORE_OUT if "LAG" in x or "OVER" in x]
+    return "WITH RECURSIVE " + with_priced(smooth)[5:] + f"""SELECT {cols('id', d('b.date', 'date'), i('b.demand', 'demand'), f('sell_price'),
+      *[x.replace("(demand", "(b.demand") for x in out], *[f(f"e{n}", f"demand_ewm_{n}") for n in STORE_SPANS])}
+      FROM priced b JOIN smooth e ON e.store_id = b.store_id AND e.item_id = b.item_id AND e.date = b.date"""
+
+
+@query("s09_s10_incremental_store", _incremental_sql())
+def incremental_store(spark, folder):
+    """The store built in three steps, the last of which also repeats some days, read back."""
+    days = integrated(spark, folder)
+    first, last = days.agg(F.min("date"), F.max("date")).first()
+    one, two = first + (last - first) * 3 // 5, first + (last - first) * 4 // 5
+    path = shared_path(spark, "grown")
+    create_store(days.where(F.col("date") < F.lit(one)), path, spans=STORE_SPANS)
+    append_days(days.where(F.col("date").between(F.lit(one), F.lit(two))), path, spans=STORE_SPANS)
+    append_days(days.where(F.col("date") > F.date_sub(F.lit(two), 10)), path, spans=STORE_SPANS)
+    names = [x.split(" AS ")[-1] for x in STORE_OUT if "LAG" in x or "OVER" in x]
+    return read_store(spark, path).select("id", "date", "demand", "sell_price", *names, *[f"demand_ewm_{n}" for n in STORE_SPANS])
+
+
 GROUPED = {
     "temporal": ("year", "month", "day", "dayofweek", "dayofyear", "week"), "lag": ("demand_lag_7",),
     "rolling": ("demand_rolling_mean_7",), "price": ("sell_price",),

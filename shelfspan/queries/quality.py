@@ -10,7 +10,8 @@ from shelfspan.plans import etl, retail
 from shelfspan.queries.base import ECONOMIC, WEATHER, i, query, with_panel, with_priced
 from shelfspan.queries.joins import wide_months
 from shelfspan.queries.windows import INDICATOR_NAMES, WIDE_ECONOMIC, economic
-from shelfspan.session import settle
+from shelfspan.session import settle, shared_path
+from shelfspan.sources.tables import write_checked
 
 DAYS = [f"d_{n}" for n in range(1, 32)]
 FAMILIES = {
@@ -139,6 +140,13 @@ def store_rules(spark, folder):
     return etl.check_store(store(spark, folder))
 
 
+@query("v12_v14_rules_while_writing", with_priced(STORE) + rows_of(*STORE_ROWS))
+def store_rules_while_writing(spark, folder):
+    """The same rules, counted by the job that writes the store."""
+    rows = store(spark, folder)
+    return write_checked(rows, shared_path(spark, "checked"), "feature_store", quality.feature_store_rules(rows))
+
+
 SUITES = [
     row("sales", "exists", "demand", "0"), row("sales", "between", "demand", count_if("demand < 0"), source="panel"),
     row("sales", "exists", "date", "0"), row("sales", "not_null", "id", count_if("id IS NULL"), source="panel"),

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfspan import schemas
 from shelfspan.functions.scalar import date_parts
+from shelfspan.operators import quality
 from shelfspan.operators.external import derive_weather
 from shelfspan.operators.joins import outer_chain
 from shelfspan.operators.panel import fill_indicators, melt
@@ -81,6 +82,23 @@ def write_table(df: DataFrame, path: str, by: Sequence[str] = (), form: str = "p
     (writer.partitionBy(*by) if by else writer).save(path)
 
 
+def write_checked(
+    df: DataFrame, path: str, dataset: str, rules: Sequence[quality.Rule], by: Sequence[str] = (), mode: str = "error", dynamic: bool = False
+) -> DataFrame:
+    """Parquet sink that counts quality rules while it writes, without a second scan; returns their rows.
+
+    ``dynamic`` with mode overwrite replaces only the partitions that get rows.
+    """
+    watched, observation = quality.observe_rules(df, rules) if rules else (df, None)
+    writer = watched.write.mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+    if observation is None:
+        return df.sparkSession.createDataFrame([], quality.REPORT)
+    return quality.observed_report(df.sparkSession, dataset, rules, observation)
+
+
 def read_feature_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
