@@ -48,6 +48,8 @@ KNOWN_WORDS = 150_000
 HASH_BITS = 44
 #: Shingles sampled at once, so that the work stays in the processor's cache.
 AT_ONCE = 40_000
+#: Shingles of several texts that a task holds before it tells the others of them.
+HELD = 500_000
 # Odd multipliers of the hashes.
 ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
@@ -295,7 +297,7 @@ def shared_weights(texts: DataFrame, inverse: np.ndarray, parts: int) -> DataFra
                 codes, counts, _ = shingler([unpack_text.decompress(raw).decode()])
                 held.append((codes, np.full(len(codes), node, np.int64), counts * shared.value[bucket_of(codes)]))
                 size += len(codes)
-                if size > 2_000_000:
+                if size > HELD:
                     yield out(local(held))
                     held, size = [], 0
         if held:
@@ -490,7 +492,8 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     rows, named = _judge(docs, similarity)
     head = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "text_hash"))
     heads = settle(named.groupBy("class_node").agg(head.alias("head")).select(F.col("head.least_id").alias("_head_id"), F.col("head.text_hash").alias("_head_hash")), "heads")
-    kept = docs.join(heads, docs["doc_id"].eqNullSafe(heads["_head_id"]) & (text_hash(docs["text"]) == heads["_head_hash"]), "left_semi")
+    # The texts needn't be sorted: the heads of a partition are small.
+    kept = docs.join(heads.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(heads["_head_id"]) & (text_hash(docs["text"]) == heads["_head_hash"]), "left_semi")
     again = rows.join(heads, rows["doc_id"].eqNullSafe(heads["_head_id"]) & (rows["text_hash"] == heads["_head_hash"]), "left_semi")
     again = settle(again.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
     if again.isEmpty():

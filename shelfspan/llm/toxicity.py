@@ -80,10 +80,11 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     return {u: math.log(o) for u, o in odds.items() if o >= LEAST_ODDS}
 
 
-def features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """The given columns without ``text``, and ``features`` as an array of doubles; null texts count as empty."""
+def features(rows: DataFrame, lexicon: dict[str, float], text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The given columns, without the text's unless ``keep_text``, and ``features`` as an array of doubles; null texts count as empty."""
     shared = rows.sparkSession.sparkContext.broadcast(lexicon)
-    kept = [f for f in rows.schema.fields if f.name != "text"]
+    kept = [f for f in rows.schema.fields if keep_text or f.name != text]
+    text_column = text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = shared.value
@@ -95,9 +96,9 @@ def features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
             stem = max((lexicon.get(word[:n] + "*", 0.0) for n in STEMS if len(word) > n), default=0.0)
             return max(whole, stem), whole == 0.0 and stem > 0
 
-        for batch in slices(batches):
-            raw, starts = flat(column_of(batch, "text"))
-            texts = strings(batch)
+        for batch in slices(batches, text_column):
+            raw, starts = flat(column_of(batch, text_column))
+            texts = strings(batch, text_column)
             n_texts = len(texts)
             of = np.repeat(np.arange(n_texts), np.diff(starts))
             share = lambda mask: np.bincount(of[mask], minlength=n_texts)  # noqa: E731, B023
@@ -133,7 +134,7 @@ def features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[column_of(batch, f.name) for f in kept], values], [*[f.name for f in kept], "features"])
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "features array<double>"])
-    return rows.select(*[f.name for f in kept], "text").mapInArrow(run, schema)
+    return rows.select(*[f.name for f in kept if f.name != text], text).mapInArrow(run, schema)
 
 
 class ToxicityModel:
@@ -158,7 +159,8 @@ class ToxicityModel:
         if self.trees is None:
             return docs if self.constant < THRESHOLD else docs.limit(0)
         wide = [F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)]
-        rows = features(docs.select(*wide, F.col("text").alias("text")), self.lexicon).withColumn("features", array_to_vector("features"))
+        # The text goes to Python and back once.
+        rows = features(docs.select(*wide), self.lexicon, f"_{docs.columns.index('text')}", keep_text=True).withColumn("features", array_to_vector("features"))
         raw = self.trees.transform(rows).withColumn("raw", vector_to_array("probability")[1])
         scored = self.isotonic.transform(raw).where(F.col("score") < THRESHOLD)
         return scored.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -81,6 +81,33 @@ def test_large_buckets_of_texts_about_the_similarity(spark):
     assert partition([got[i] for i in range(len(texts))]) == partition(want)
 
 
+def test_texts_are_not_sorted_to_keep_one(spark):
+    ship(spark)
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "d")], "doc_id long, text string")
+    kept = near_dedup.keep_one(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+def test_toxicity_sends_a_text_to_python_once(spark, monkeypatch):
+    """The stage before: its workers and Arrow buffers are still there in this one."""
+    from shelfspan.llm import toxicity
+
+    sent, plain = [], toxicity.features
+
+    def features(rows, *rest, **named):
+        sent.append(plain(rows, *rest, **named))
+        raise InterruptedError
+
+    monkeypatch.setattr(toxicity, "features", features)
+    docs = spark.createDataFrame([(1, "en", "You fool", "s"), (2, None, None, "s")], "doc_id long, lang string, text string, source string")
+    with pytest.raises(InterruptedError):
+        toxicity.ToxicityModel({"fool": 2.0}, trees=object()).keep(docs)
+    assert sent[0].columns[:-1] == ["_0", "_1", "_2", "_3"]
+    assert sorted(tuple(r)[:4] for r in sent[0].collect()) == [(1, "en", "You fool", "s"), (2, None, None, "s")]
+
+
 def test_null_and_repeated_ids(spark):
     """Different texts stay apart whatever their ids; one row of each class stays."""
     ship(spark)
