@@ -371,16 +371,17 @@ def rare_pairs(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similari
     held = rows.join(holders, "code").join(own.select("node", "weight"), "node")
     behind = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("code")).rowsBetween(Window.unboundedPreceding, 0)
     front = held.withColumn("behind", F.sum("w").over(behind)).where(F.col("behind") >= (similarity - 1e-9) * F.col("weight"))
-    lists = front.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "code", "behind"))).alias("front"))
-    lists = settle(lists.select("node", F.col("front.code").alias("front"), F.col("front.behind").alias("behind")).join(own, "node"), "fronts")
-    each = lists.select(F.explode(F.arrays_zip(F.col("front").alias("code"), F.col("behind").alias("rest"))).alias("_at"), "*").select("_at.code", "_at.rest", *[c for c in lists.columns if c != "behind"])
+    lists = front.groupBy("node").agg(F.collect_list(F.struct("code", F.col("behind").alias("rest"))).alias("front"))
+    lists = settle(lists.join(own, "node"), "fronts")
+    # A row of each shingle takes nothing along that grows with the number of them.
+    each = lists.select(F.explode("front").alias("_at"), "node", "weight", "class_id", "bands").select("_at.code", "_at.rest", "node", "weight", "class_id", "bands")
     other = each.select("code", *[F.col(c).alias(f"o_{c}") for c in each.columns if c != "code"])
     same_bucket = F.exists(F.zip_with("bands", "o_bands", lambda x, y: x == y), lambda x: x)
-    first = F.get(F.array_intersect("front", "o_front"), F.lit(0)) == F.col("code")
     # All that two texts share lies at or behind their first common shingle, and it must be this much.
+    # Behind a later one lies less, so a pair may pass at several shingles, but passes at the first if at any.
     enough = F.least("rest", "o_rest") >= (similarity / (1 + similarity) - 1e-9) * (F.col("weight") + F.col("o_weight"))
-    met = each.join(other, "code").where((F.col("node") > F.col("o_node")) & (F.col("class_id") != F.col("o_class_id")) & enough & same_bucket & first)
-    return met.select(F.col("node").alias("a"), F.col("o_node").alias("b"))
+    met = each.join(other, "code").where((F.col("node") > F.col("o_node")) & (F.col("class_id") != F.col("o_class_id")) & enough & same_bucket)
+    return met.select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
 
 
 def _apart(placed: DataFrame, classes: DataFrame | None) -> DataFrame:
@@ -393,16 +394,20 @@ def _apart(placed: DataFrame, classes: DataFrame | None) -> DataFrame:
     return settle(named.join(split.select("band", "low", "n"), "band"), "apart")
 
 
-def _head_pairs(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity: float, round_: int) -> DataFrame:
-    """``a, b``: texts of a bucket and its pivots, one in the first round and about PIVOTS in the second."""
+def _bounded(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity: float) -> DataFrame:
+    """``apart`` with ``shared``, the weight that other texts in question hold too, without texts that share too little to be similar to any."""
+    # What no other text in question holds can't be shared with any of them.
+    left = apart.select("node").distinct()
+    parts = max(64, left.count() // 5_000)
+    sums = shared_weights(attach(texts, left, ["node"], "left_semi"), inverse, parts)
+    return settle(apart.join(sums, "node").where(F.col("shared") >= (similarity - 1e-9) * F.col("weight")), "bounded")
+
+
+def _head_pairs(apart: DataFrame, similarity: float, round_: int) -> DataFrame:
+    """``a, b``: texts of a bucket and its pivots, one in the first round and about PIVOTS in the second; there all of a bucket of up to PIVOTS."""
     mark = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("n") < F.lit(PIVOTS * (1 << 30))
-    apart = apart.withColumn("shared", F.col("weight"))
-    if round_:
-        # What no other text in question holds can't be shared with any of them.
-        left = apart.select("node").distinct()
-        parts = max(64, left.count() // 5_000)
-        sums = shared_weights(attach(texts, left, ["node"], "left_semi"), inverse, parts)
-        apart = settle(apart.drop("shared").join(sums, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0.0))), "bounded")
+    if not round_:
+        apart = apart.withColumn("shared", F.col("weight"))
     apart = apart.withColumn("leads", mark if round_ else F.col("node") == F.col("low"))
     heads = apart.where("leads").select("band", F.col("node").alias("b"), F.col("class_id").alias("other"), F.col("weight").alias("heavy"), F.col("shared").alias("most"), F.col("bands").alias("theirs"))
     # Weighted Jaccard is at most what may be shared over what then is in either text; the margin is for rounding.
@@ -441,10 +446,11 @@ def _judge(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     facts = [F.min("doc_id").alias("least_id"), F.first("weight").alias("weight"), *[F.first(F.get("bands", F.lit(i))).alias(f"b{i}") for i in range(BANDS)]]
     nodes = settle(signed.groupBy("text_hash").agg(*facts).withColumn("node", F.monotonically_increasing_id()), "nodes")
     bands = F.array(*[f"b{i}" for i in range(BANDS)])
-    banded = nodes.where("b0 is not null").select("node", "weight", bands.alias("bands")).select("*", F.posexplode("bands").alias("place", "band"))
-    # Buckets of one text are dropped before any join with texts.
+    some = nodes.where("b0 is not null").select("node", "weight", bands.alias("bands"))
+    banded = some.select("node", F.posexplode("bands").alias("place", "band"))
+    # Buckets of one text are dropped before any join with texts; only what is left gets weights and all bands.
     full = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    placed = settle(banded.join(full, "band"), "placed")
+    placed = settle(settle(banded.join(full, "band"), "buckets").join(some, "node").select("band", "node", "weight", "bands", "place"), "placed")
     # A row of each text in question; more than one only where rows repeat id and text.
     one_id = F.coalesce("least_id", F.lit(0)).alias("_id")
     needed = nodes.join(placed.select("node").distinct(), "node").select(one_id, "text_hash", "node")
@@ -453,7 +459,11 @@ def _judge(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     links, tested, classes = None, None, None
     for round_ in range(3):
         apart = _apart(placed, classes)
-        pairs = _head_pairs(apart, texts, inverse, similarity, round_) if round_ < 2 else rare_pairs(apart, texts, inverse, similarity)
+        if round_ == 1:
+            apart = _bounded(apart, texts, inverse, similarity)
+            # Texts of smaller buckets are all compared now, and those left out can't be similar to any.
+            placed = apart.where(F.col("n") > PIVOTS).select(placed.columns)
+        pairs = _head_pairs(apart, similarity, round_) if round_ < 2 else rare_pairs(apart, texts, inverse, similarity)
         if tested is not None:
             known = tested.select(F.col("a").alias("x"), F.col("b").alias("y"))
             pairs = pairs.join(known, (F.greatest("a", "b") == F.col("x")) & (F.least("a", "b") == F.col("y")), "left_anti")

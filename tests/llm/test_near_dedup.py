@@ -81,6 +81,36 @@ def test_large_buckets_of_texts_about_the_similarity(spark):
     assert partition([got[i] for i in range(len(texts))]) == partition(want)
 
 
+def test_only_large_buckets_are_taken_apart_by_shingles(spark, monkeypatch):
+    """Texts of small buckets are all compared before, and texts that share too little with any are left out; no class is lost."""
+    ship(spark)
+    dice = random.Random(5)
+    near = [f"w{dice.randrange(10_000)}" for _ in range(200)]
+    # Half of a text's words come again in each of these, so they meet in buckets, but no two are similar.
+    halves = [" ".join(near[:120] + [f"y{n}x{i}" for i in range(80)]) for n in range(150)]
+    texts = variants(dice, 14, 200, 0.05) + variants(dice, 10, 60, 0.06) + halves
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    taken, candidates = [], []
+    rows, settled = near_dedup.shingle_rows, near_dedup.settle
+
+    def counted(texts, inverse):
+        taken.append(texts.count())
+        return rows(texts, inverse)
+
+    def seen(df, name="table"):
+        if name == "candidates":
+            candidates.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return settled(df, name)
+
+    monkeypatch.setattr(near_dedup, "shingle_rows", counted)
+    monkeypatch.setattr(near_dedup, "settle", seen)
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes_of(docs).collect()}
+    want, links = all_pairs(texts)
+    assert partition([got[i] for i in range(len(texts))]) == partition(want) and links >= 10 and len(partition(want)) > 155
+    assert taken == [0] and len(candidates) == 3
+    assert "o_front" not in candidates[2]  # a row of a shingle doesn't take along all others of its text
+
+
 def test_texts_are_not_sorted_to_keep_one(spark):
     ship(spark)
     docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "d")], "doc_id long, text string")
