@@ -127,15 +127,16 @@ def test_toxicity_sends_a_text_to_python_once(spark, monkeypatch):
     sent, plain = [], toxicity.features
 
     def features(rows, *rest, **named):
-        sent.append(plain(rows, *rest, **named))
+        sent.append((rows.columns, plain(rows, *rest, **named)))
         raise InterruptedError
 
     monkeypatch.setattr(toxicity, "features", features)
     docs = spark.createDataFrame([(1, "en", "You fool", "s"), (2, None, None, "s")], "doc_id long, lang string, text string, source string")
     with pytest.raises(InterruptedError):
         toxicity.ToxicityModel({"fool": 2.0}, trees=object()).keep(docs)
-    assert sent[0].columns[:-1] == ["_0", "_1", "_2", "_3"]
-    assert sorted(tuple(r)[:4] for r in sent[0].collect()) == [(1, "en", "You fool", "s"), (2, None, None, "s")]
+    columns, out = sent[0]
+    assert columns == out.columns[:-1] == ["_0", "_1", "_2", "_3"]
+    assert sorted((r["_0"], r["_1"], r["_2"], r["_3"]) for r in out.collect()) == [(1, "en", "You fool", "s"), (2, None, None, "s")]
 
 
 def test_null_and_repeated_ids(spark):
