@@ -9,10 +9,10 @@ all samples of a band are candidates; candidates are verified on whole texts.
 
 Equal texts are one node, numbered apart from their ids, which may be null or
 repeated. In a bucket every text is first compared with one pivot, then texts
-of other classes with a few more. Of what is still apart only those candidates
-are compared that share one of their rarest shared shingles: two texts at the
-wanted similarity always do, so no link between candidates is lost, and no
-bucket is expanded pair by pair.
+of other classes with a few more, with new ones as long as that joins many
+classes. Of what is still apart only those candidates are compared that share
+one of their rarest shared shingles: two texts at the wanted similarity always
+do, so no link between candidates is lost, and no bucket is expanded pair by pair.
 """
 
 from __future__ import annotations
@@ -44,6 +44,10 @@ FREQUENCY_BITS = 17
 TABLE_BITS = 14
 #: Expected pivots of a bucket in the second round; rows compared in one group.
 PIVOTS, CHUNK = 16, 32
+#: New pivots are drawn as long as the last ones left less than this share of the classes, in buckets of more texts than that.
+STILL_JOINING, LARGE = 0.75, 8 * PIVOTS
+#: Rarer shingles that a row of a shingle takes along, by which most pairs that met at one of them are known.
+LOOKED_BACK = 4
 KNOWN_WORDS = 150_000
 HASH_BITS = 44
 #: Shingles sampled at once, so that the work stays in the processor's cache.
@@ -356,14 +360,16 @@ def shingle_rows(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
     return texts.select("node", "packed").mapInArrow(run, "node long, code long, w double")
 
 
-def rare_pairs(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity: float) -> DataFrame:
-    """``a, b``: texts of one bucket and different classes that may be similar, each pair once.
+def rare_meetings(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity: float) -> DataFrame:
+    """``a, b``: texts of one bucket and different classes that may be similar, most pairs once and some a few times.
 
     Shingles that only one of the texts holds can't be shared. The others are
     sorted by the number of texts that hold them. Similar texts share at least
     ``similarity`` of either's weight; so their first common shingle has at
     least that much behind it in both, and it is enough to let texts meet by
-    the shingles in front of that point.
+    the shingles in front of that point. Two texts that share many of these meet
+    where they share none of the LOOKED_BACK rarer ones of either: always at
+    the first, and seldom again.
     """
     own = settle(apart.select("node", "weight", "class_id", "bands").dropDuplicates(["node"]), "own")
     rows = settle(shingle_rows(attach(texts, own.select("node"), ["node"], "left_semi", settled=True), inverse), "shingles")
@@ -371,17 +377,20 @@ def rare_pairs(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similari
     held = rows.join(holders, "code").join(own.select("node", "weight"), "node")
     behind = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("code")).rowsBetween(Window.unboundedPreceding, 0)
     front = held.withColumn("behind", F.sum("w").over(behind)).where(F.col("behind") >= (similarity - 1e-9) * F.col("weight"))
-    lists = front.groupBy("node").agg(F.collect_list(F.struct("code", F.col("behind").alias("rest"))).alias("front"))
+    # The rarest first, in the same order for all texts.
+    lists = front.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "code", F.col("behind").alias("rest")))).alias("front"))
     lists = settle(lists.join(own, "node"), "fronts")
     # A row of each shingle takes nothing along that grows with the number of them.
-    each = lists.select(F.explode("front").alias("_at"), "node", "weight", "class_id", "bands").select("_at.code", "_at.rest", "node", "weight", "class_id", "bands")
+    rarer = F.slice(F.col("front.code"), F.greatest(F.lit(1), F.col("_place") - (LOOKED_BACK - 1)), F.least(F.col("_place"), F.lit(LOOKED_BACK)))
+    each = lists.select(F.posexplode("front").alias("_place", "_at"), "*").select("_at.code", "_at.rest", rarer.alias("rarer"), "node", "weight", "class_id", "bands")
     other = each.select("code", *[F.col(c).alias(f"o_{c}") for c in each.columns if c != "code"])
     same_bucket = F.exists(F.zip_with("bands", "o_bands", lambda x, y: x == y), lambda x: x)
     # All that two texts share lies at or behind their first common shingle, and it must be this much.
     # Behind a later one lies less, so a pair may pass at several shingles, but passes at the first if at any.
     enough = F.least("rest", "o_rest") >= (similarity / (1 + similarity) - 1e-9) * (F.col("weight") + F.col("o_weight"))
-    met = each.join(other, "code").where((F.col("node") > F.col("o_node")) & (F.col("class_id") != F.col("o_class_id")) & enough & same_bucket)
-    return met.select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
+    new = ~F.arrays_overlap("rarer", "o_rarer")
+    met = each.join(other, "code").where((F.col("node") > F.col("o_node")) & (F.col("class_id") != F.col("o_class_id")) & enough & new & same_bucket)
+    return met.select(F.col("node").alias("a"), F.col("o_node").alias("b"))
 
 
 def _apart(placed: DataFrame, classes: DataFrame | None) -> DataFrame:
@@ -404,8 +413,9 @@ def _bounded(apart: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity
 
 
 def _head_pairs(apart: DataFrame, similarity: float, round_: int) -> DataFrame:
-    """``a, b``: texts of a bucket and its pivots, one in the first round and about PIVOTS in the second; there all of a bucket of up to PIVOTS."""
-    mark = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("n") < F.lit(PIVOTS * (1 << 30))
+    """``a, b``: texts of a bucket and its pivots, one in the first round and about PIVOTS others in each later one; there all of a bucket of up to PIVOTS."""
+    seed = [F.lit(round_)] if round_ > 1 else []
+    mark = F.pmod(F.xxhash64("node", "band", *seed), F.lit(1 << 30)) * F.col("n") < F.lit(PIVOTS * (1 << 30))
     if not round_:
         apart = apart.withColumn("shared", F.col("weight"))
     apart = apart.withColumn("leads", mark if round_ else F.col("node") == F.col("low"))
@@ -421,6 +431,11 @@ def _head_pairs(apart: DataFrame, similarity: float, round_: int) -> DataFrame:
     return met.select(F.when(swap, F.col("b")).otherwise(F.col("node")).alias("a"), F.when(swap, F.col("node")).otherwise(F.col("b")).alias("b")).distinct()
 
 
+def _left(apart: DataFrame) -> tuple[int, float]:
+    """Of how many classes the texts are, and how many texts the bucket of a row has on average."""
+    return tuple(apart.agg(F.count_distinct("class_id"), F.coalesce(F.avg("n"), F.lit(0.0))).first())
+
+
 def _named(nodes: DataFrame, classes: DataFrame | None, links: DataFrame | None) -> DataFrame:
     """``text_hash, least_id, class_node, class_id, n_links`` of every different text."""
     if classes is None:
@@ -457,25 +472,30 @@ def _judge(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), text_hash(F.col("text")).alias("text_hash"), "text")
     texts = settle(packed(attach(rows, needed, ["_id", "text_hash"], "inner").select("node", "text")).dropDuplicates(["node"]), "texts")
     links, tested, classes = None, None, None
-    for round_ in range(3):
+    round_, last = 0, False
+    while not last:
         apart = _apart(placed, classes)
         if round_ == 1:
             apart = _bounded(apart, texts, inverse, similarity)
             # Texts of smaller buckets are all compared now, and those left out can't be similar to any.
-            placed = apart.where(F.col("n") > PIVOTS).select(placed.columns)
-        pairs = _head_pairs(apart, similarity, round_) if round_ < 2 else rare_pairs(apart, texts, inverse, similarity)
+            large = apart.where(F.col("n") > PIVOTS)
+            placed, (number, _) = large.select(*placed.columns, "shared"), _left(large)
+        if round_ > 1:
+            before, (number, size) = number, _left(apart)
+            last = size <= LARGE or number >= STILL_JOINING * before
+        pairs = rare_meetings(apart, texts, inverse, similarity).distinct() if last else _head_pairs(apart, similarity, round_)
         if tested is not None:
             known = tested.select(F.col("a").alias("x"), F.col("b").alias("y"))
             pairs = pairs.join(known, (F.greatest("a", "b") == F.col("x")) & (F.least("a", "b") == F.col("y")), "left_anti")
         pairs = settle(pairs, "candidates")
-        if pairs.isEmpty():
-            continue
-        judged = settle(verify(pairs, texts, inverse, similarity), "judged")
-        found = judged.where("linked").select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        done = judged.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        tested = done if tested is None else tested.unionByName(done)
-        classes = components(links)
+        if not pairs.isEmpty():
+            judged = settle(verify(pairs, texts, inverse, similarity), "judged")
+            found = judged.where("linked").select("a", "b")
+            links = found if links is None else links.unionByName(found)
+            done = judged.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+            tested = done if tested is None else tested.unionByName(done)
+            classes = components(links)
+        round_ += 1
     return signed.select("doc_id", "text_hash"), _named(nodes, classes, links)
 
 

@@ -111,6 +111,44 @@ def test_only_large_buckets_are_taken_apart_by_shingles(spark, monkeypatch):
     assert "o_front" not in candidates[2]  # a row of a shingle doesn't take along all others of its text
 
 
+def test_a_pair_meets_about_once_by_its_rarest_shingles(spark):
+    """Similar texts share many shingles; they meet at the first and hardly again, and no similar pair is left out."""
+    ship(spark)
+    dice = random.Random(3)
+    texts = sorted(set(variants(dice, 60, 200, 0.03)))
+    inverse = np.ones(1 << near_dedup.FREQUENCY_BITS)
+    sets = [near_dedup.Shingler()([t])[:2] for t in texts]
+    packed = near_dedup.packed(spark.createDataFrame(list(enumerate(texts)), "node long, text string"))
+    apart = spark.createDataFrame([(i, float(n.sum()), i, [7]) for i, (_, n) in enumerate(sets)], "node long, weight double, class_id long, bands array<long>")
+    met = [(r["a"], r["b"]) for r in near_dedup.rare_meetings(apart, packed, inverse, 0.8).collect()]
+    linked = {(i, j) for i in range(len(texts)) for j in range(i) if near_dedup.weighted_jaccard(sets[i], sets[j]) >= 0.8}
+    assert len(linked) > 200 and linked <= set(met)
+    assert len(met) <= 1.2 * len(set(met))
+
+
+def test_pivots_go_on_while_they_join_classes(spark, monkeypatch):
+    """Large classes of one bucket are joined by a few pivots, not by what lies between all of their texts."""
+    ship(spark)
+    dice = random.Random(4)
+    texts = variants(dice, 500, 150, 0.08)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    candidates, settled = [], near_dedup.settle
+
+    def seen(df, name="table"):
+        out = settled(df, name)
+        if name == "candidates":
+            candidates.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "settle", seen)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 8)
+    monkeypatch.setattr(near_dedup, "LARGE", 32)
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes_of(docs).collect()}
+    want, links = all_pairs(texts)
+    assert partition([got[i] for i in range(len(texts))]) == partition(want) and links > 1000
+    assert len(candidates) > 3
+
+
 def test_texts_are_not_sorted_to_keep_one(spark):
     ship(spark)
     docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "d")], "doc_id long, text string")
