@@ -18,9 +18,9 @@ do, so no link between candidates is lost, and no bucket is expanded pair by pai
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql.types import MapType, VariantType
 
 from shelfspan.llm.blobs import by_part, groups, pack, unpack
 from shelfspan.llm.graph import components
-from shelfspan.llm.text import WORD, column_of, slices, strings
+from shelfspan.llm.text import column_of, flat, slices, strings
 from shelfspan.operators.joins import attach
 from shelfspan.session import settle
 
@@ -48,12 +48,15 @@ PIVOTS, CHUNK = 16, 32
 STILL_JOINING, LARGE = 0.75, 8 * PIVOTS
 #: Rarer shingles that a row of a shingle takes along, by which most pairs that met at one of them are known.
 LOOKED_BACK = 4
-KNOWN_WORDS = 150_000
 HASH_BITS = 44
 #: Shingles sampled at once, so that the work stays in the processor's cache.
 AT_ONCE = 40_000
+#: Packed texts that are unpacked at a time.
+AT_A_TIME = 64
 #: Shingles of several texts that a task holds before it tells the others of them.
 HELD = 500_000
+#: Bytes between words; those of WORD are all others.
+SEPARATES = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 # Odd multipliers of the hashes.
 ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
@@ -64,35 +67,46 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class Shingler:
-    """Hashed shingles of texts; keeps the hashes of a bounded number of words."""
+def hashed_words(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one after another, and the number of words of each text; of UTF-8 bytes as ``text.flat`` gives them."""
+    inside = ~SEPARATES[raw]
+    head, tail = inside.copy(), inside.copy()
+    head[1:] &= ~inside[:-1]
+    tail[:-1] &= ~inside[1:]
+    some = starts[1:] > starts[:-1]
+    first, last = starts[:-1][some], starts[1:][some] - 1
+    head[first], tail[last] = inside[first], inside[last]
+    at = np.flatnonzero(head)
+    ends = np.append(0, np.cumsum(np.flatnonzero(tail) + 1 - at))
+    letters = raw[inside]
+    words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(letters)]).dictionary_encode()
+    different = words.dictionary.to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, different), np.uint64, len(different))
+    return hashes[words.indices.to_numpy()], np.diff(np.searchsorted(at, starts))
+
 
-    def __init__(self):
-        self.find = re.compile(WORD).findall
-        self.known: dict[str, int] = {}
+class Shingler:
+    """Hashed shingles of texts."""
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __call__(self, texts: list[str] | list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Different shingles of each text in rising order, their counts, and the n + 1 starts of texts."""
-        split = [self.find(t) for t in texts]
-        met = set().union(*split) if split else set()
-        known = self.known
-        if len(known) + len(met) > KNOWN_WORDS:
-            known.clear()
-        for w in met.difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w.encode())
-        hashed = {w: known[w] for w in met}.__getitem__
-        flat: list[int] = []
-        lengths = np.zeros(len(texts), np.int64)
-        for i, words in enumerate(split):
-            flat.extend(map(hashed, words))
-            if 0 < len(words) < SHINGLE:
-                flat.extend([0] * (SHINGLE - len(words)))
-            lengths[i] = max(len(words), SHINGLE) if words else 0
-        words = np.array(flat, np.uint64)
+        coded = [t.encode() if isinstance(t, str) else t for t in texts]
+        return self.of(np.frombuffer(b"".join(coded), np.uint8), np.append(0, np.cumsum([len(t) for t in coded], dtype=np.int64)))
+
+    def of(self, raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of texts one after another in UTF-8, from each of ``starts`` to the next."""
+        words, number = hashed_words(raw, starts)
+        texts = len(number)
+        lengths = np.where(number > 0, np.maximum(number, SHINGLE), 0)
+        if (lengths > number).any():
+            # Texts of fewer words are filled up with zeros.
+            filled = np.zeros(lengths.sum(), np.uint64)
+            filled[np.arange(len(words)) + np.repeat(np.cumsum(lengths - number) - (lengths - number), number)] = words
+            words = filled
         n = len(words) - SHINGLE + 1
         if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
-        of = np.repeat(np.arange(len(texts)), lengths)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(texts + 1, np.int64)
+        of = np.repeat(np.arange(texts), lengths)
         code = words[:n].copy()
         for k in range(1, SHINGLE):
             code *= ODD[0]
@@ -103,7 +117,7 @@ class Shingler:
         at = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.zeros(0, np.int64)
         counts = np.diff(np.append(at, len(both)))
         both = both[at]
-        bounds = np.searchsorted(both, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(HASH_BITS))
+        bounds = np.searchsorted(both, np.arange(texts + 1, dtype=np.uint64) << np.uint64(HASH_BITS))
         return both & np.uint64((1 << HASH_BITS) - 1), counts, bounds
 
 
@@ -117,7 +131,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sums = Shingler(), np.zeros((1 << FREQUENCY_BITS) + 1, np.int64)
         for batch in slices(batches):
-            shingles, _, starts = shingler(strings(batch))
+            shingles, _, starts = shingler.of(*flat(column_of(batch, "text")))
             sums[:-1] += np.bincount(bucket_of(shingles), minlength=1 << FREQUENCY_BITS)
             sums[-1] += (np.diff(starts) > 0).sum()
         at = np.flatnonzero(sums)
@@ -179,11 +193,11 @@ def signatures(docs: DataFrame, inverse: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in slices(batches):
-            texts = strings(batch)
-            shingles, counts, starts = shingler(texts)
+            raw, ends = flat(column_of(batch, "text"))
+            shingles, counts, starts = shingler.of(raw, ends)
             some = np.flatnonzero(np.diff(starts) > 0)
             bands = np.zeros((len(some), BANDS), np.uint64)
-            total = np.zeros(len(texts))
+            total = np.zeros(batch.num_rows)
             if len(some):
                 weights = counts * shared.value[bucket_of(shingles)]
                 marks = samples(shingles, weights, np.append(starts[some], starts[-1]), BANDS * ROWS).reshape(len(some), BANDS, ROWS)
@@ -191,10 +205,10 @@ def signatures(docs: DataFrame, inverse: np.ndarray) -> DataFrame:
                 for row in range(ROWS):
                     bands = _mix(bands * ODD[0] + marks[:, :, row])
                 bands = _mix(bands + np.arange(BANDS, dtype=np.uint64) * ODD[1])
-            sizes = np.zeros(len(texts) + 1, np.int32)
+            sizes = np.zeros(batch.num_rows + 1, np.int32)
             sizes[some + 1] = BANDS
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(bands.ravel().astype(np.int64)))
-            hashes = pa.array([hashlib.md5(t.encode()).digest() for t in texts], pa.binary())
+            hashes = pa.array([hashlib.md5(raw[a:b]).digest() for a, b in pairwise(ends.tolist())], pa.binary())
             yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), hashes, pa.array(total), lists], ["doc_id", "text_hash", "weight", "bands"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text_hash binary, weight double, bands array<long>")
@@ -211,6 +225,16 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node long, packed binary")
 
 
+def weighed(texts: pa.Array, inverse: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingles and weights of each of the packed texts; a few are unpacked at a time."""
+    shingler, unpack_text = Shingler(), zstandard.ZstdDecompressor()
+    for at in range(0, len(texts), AT_A_TIME):
+        codes, counts, starts = shingler([unpack_text.decompress(x) for x in texts.slice(at, AT_A_TIME).to_pylist()])
+        weights = counts * inverse[bucket_of(codes)]
+        for a, b in pairwise(starts.tolist()):
+            yield codes[a:b], weights[a:b]
+
+
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Sum of minima over sum of maxima of two sorted shingle sets with weights."""
     (x, u), (y, v) = a, b
@@ -238,20 +262,15 @@ def verify(pairs: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by (b, chunk, a), so the head, which has no a, comes first.
-        shingler, unpack = Shingler(), zstandard.ZstdDecompressor()
         head, of = None, None
-
-        def weigh(raw: bytes):
-            shingles, counts, _ = shingler([unpack.decompress(raw).decode()])
-            return shingles, counts * shared.value[bucket_of(shingles)]
-
         for batch in batches:
             out = []
-            for b, chunk, a, raw in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+            rows = zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True)
+            for (b, chunk, a), text in zip(rows, weighed(batch.column(3), shared.value), strict=True):
                 if a is None:
-                    head, of = weigh(raw), (b, chunk)
+                    head, of = text, (b, chunk)
                 elif of == (b, chunk):
-                    out.append((a, b, weighted_jaccard(weigh(raw), head) >= similarity))
+                    out.append((a, b, weighted_jaccard(text, head) >= similarity))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["a", "b", "linked"])
 
@@ -294,12 +313,10 @@ def shared_weights(texts: DataFrame, inverse: np.ndarray, parts: int) -> DataFra
         return rows
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, unpack_text = Shingler(), zstandard.ZstdDecompressor()
         held, size = [], 0
         for batch in batches:
-            for node, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                codes, counts, _ = shingler([unpack_text.decompress(raw).decode()])
-                held.append((codes, np.full(len(codes), node, np.int64), counts * shared.value[bucket_of(codes)]))
+            for node, (codes, weights) in zip(batch.column(0).to_pylist(), weighed(batch.column(1), shared.value), strict=True):
+                held.append((codes, np.full(len(codes), node, np.int64), weights))
                 size += len(codes)
                 if size > HELD:
                     yield out(local(held))
@@ -351,10 +368,9 @@ def shingle_rows(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
         shingler, unpack_text = Shingler(), zstandard.ZstdDecompressor()
         for batch in batches:
             raw = batch.column(1)
-            for at in range(0, batch.num_rows, 64):
-                part = [unpack_text.decompress(x).decode() for x in raw.slice(at, 64).to_pylist()]
-                codes, counts, starts = shingler(part)
-                node = np.repeat(batch.column(0).slice(at, 64).to_numpy(), np.diff(starts))
+            for at in range(0, batch.num_rows, AT_A_TIME):
+                codes, counts, starts = shingler([unpack_text.decompress(x) for x in raw.slice(at, AT_A_TIME).to_pylist()])
+                node = np.repeat(batch.column(0).slice(at, AT_A_TIME).to_numpy(), np.diff(starts))
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(codes.astype(np.int64)), pa.array(counts * shared.value[bucket_of(codes)])], ["node", "code", "w"])
 
     return texts.select("node", "packed").mapInArrow(run, "node long, code long, w double")

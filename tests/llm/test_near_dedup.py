@@ -1,12 +1,16 @@
 """Near-duplicate classes against all pairs, and the pipeline's stages against what they must keep."""
 
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
 from shelfspan.llm import near_dedup, pieces
 from shelfspan.llm.ship import ship
+from shelfspan.llm.text import WORD, flat
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -149,6 +153,22 @@ def test_pivots_go_on_while_they_join_classes(spark, monkeypatch):
     assert len(candidates) > 3
 
 
+def test_shingles_of_bytes(spark):
+    """Words are those of the pattern, whatever bytes a character has, and texts don't run into each other."""
+    dice = random.Random(6)
+    texts = ["", " ", "a", "a b c d e f a b c d e", "\u00e9\x0b\u00fc\x0c\r", "\x1ca\x85b\u3000  c", *("".join(dice.choice(" ab\n\u00e9\x85\u3000") for _ in range(dice.randrange(60))) for _ in range(300))]
+    column = pa.array(["left out", *texts, None])[1:]
+    words, number = near_dedup.hashed_words(*flat(column))
+    found = [re.findall(WORD, t) for t in texts] + [[]]
+    assert number.tolist() == [len(w) for w in found] and words.tolist() == [xxhash.xxh3_64_intdigest(w.encode()) for text in found for w in text]
+    codes, counts, starts = near_dedup.Shingler().of(*flat(column))
+    for at, text in enumerate([*texts, ""]):
+        one, times, _ = near_dedup.Shingler()([text])
+        part = slice(starts[at], starts[at + 1])
+        assert codes[part].tolist() == one.tolist() and counts[part].tolist() == times.tolist()
+        assert counts[part].sum() == (max(len(found[at]) - 4, 1) if found[at] else 0)
+
+
 def test_texts_are_not_sorted_to_keep_one(spark):
     ship(spark)
     docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "d")], "doc_id long, text string")
